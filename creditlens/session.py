@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,10 +55,24 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def reliable(df):
-    """Cut the lineage of a frame that several later jobs read, in the shared folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several jobs read to the shared folder and read it back.
+
+    As Parquet, so that later passes read only their columns; the lineage ends
+    here and a lost executor costs no recomputation before this point.
+    """
+    path = run_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lookup_side(df: DataFrame, max_rows: int = 10000) -> DataFrame:
+    """The small side of a lookup join, with its size checked.
+
+    Up to ``max_rows`` rows come to the driver once and are broadcast; beyond
+    that the frame is returned as it is and Spark joins it by shuffle.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
