@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from creditlens.functions.scoring import clamp
 
-RECORDS = F.lit(1)
+RECORDS = "*"
 
 # The share shown on a single application's analytics row.
 ROW_APPROVAL_RATE = {"AUTO_APPROVE": 0.7, "AUTO_REJECT": 0.3}

@@ -20,7 +20,7 @@ CATEGORY_IMBALANCE = 10
 TARGET_IMBALANCE = 3
 HIGH_CORRELATION = 0.7
 
-RECORDS = F.lit(1)
+RECORDS = "*"
 
 
 def _per_column(wide: DataFrame, columns: list[str], fields) -> DataFrame:
