@@ -28,8 +28,8 @@ def lookup(column: Column, values: dict, default=None) -> Column:
 
 
 def clamp(value: Column, low: float = 0.0, high: float = 1.0) -> Column:
-    """Limit to a range; null stays null."""
-    return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
+    """Limit a value that is set to a range; names the value once, so plans stay small."""
+    return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
 def points(condition: Column, amount: float) -> Column:
@@ -56,7 +56,8 @@ def rule_score() -> Column:
 
 def score_or_fallback(model_score: Column) -> Column:
     """The model's score held to 0..1, or the rule score where the model gave none."""
-    return F.coalesce(clamp(model_score), rule_score())
+    # greatest and least pass over nulls, so a missing model score is set aside first.
+    return F.when(model_score.isNotNull(), clamp(model_score)).otherwise(rule_score())
 
 
 def risk_level(risk: Column) -> Column:

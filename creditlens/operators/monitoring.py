@@ -79,6 +79,10 @@ def drift_psi(
         if low is None or low == high:
             return F.when(F.col(c).isNotNull(), F.lit(0))
         width = (high - low) / bins
+        # least passes over nulls, so they are kept out here.
+        return F.when(F.col(c).isNotNull(), _capped_bin(c, low, width))
+
+    def _capped_bin(c: str, low: float, width: float) -> Column:
         return F.least(F.floor((F.col(c).cast("double") - F.lit(low)) / F.lit(width)).cast("int"), F.lit(bins - 1))
 
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), bin_of(c).alias("bin")) for c in columns])

@@ -72,7 +72,7 @@ WHERE loan_grade = 'A' AND priority = '1-URGENT'""",
     CASE WHEN risk_score <= 0.7::DOUBLE THEN 'MANUAL_REVIEW' ELSE 'AUTO_REJECT' END END AS base,
   {RISK_LEVEL.format('risk_score')} AS risk_level
 FROM (SELECT *, {RULE_SCORE} AS rule_score,
-  coalesce(least(1.0::DOUBLE, greatest(0.0::DOUBLE, model_score)), {RULE_SCORE}) AS risk_score FROM apps)""",
+  CASE WHEN model_score IS NOT NULL THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, model_score)) ELSE {RULE_SCORE} END AS risk_score FROM apps)""",
     ),
     "decided": (
         ("scored",),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from creditlens.functions import scoring
 from creditlens.schemas import COERCIONS, LOAN_GRADES, LOAN_INTENTS
+from creditlens.session import staged
 
 #: "Now" in every query that depends on the time.
 AS_OF = "2001-08-02"
@@ -81,6 +82,10 @@ def applications_from(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+#: Stored tables by application, source folder and name.
+STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
     """The given tables of one folder and the loan tables derived from them."""
 
@@ -139,8 +144,30 @@ class Tables:
 
         return decide(score(self.apps, "model_score"))
 
+    def _stored(self, name: str, build) -> DataFrame:
+        """A table of the platform, written to the shared folder on first use.
+
+        Repository queries read stored tables; deciding anew in each of them would
+        hide their filters behind the whole decision logic.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in STORED:
+            STORED[key] = staged(build(), name)
+        return STORED[key]
+
     @property
     def applications(self) -> DataFrame:
+        return self._stored("applications", self._applications)
+
+    @property
+    def risk_scores(self) -> DataFrame:
+        return self._stored("risk_scores", self._risk_scores)
+
+    @property
+    def decisions(self) -> DataFrame:
+        return self._stored("decisions", self._decisions)
+
+    def _applications(self) -> DataFrame:
         """The applications table, with a status that follows from intake and decision."""
         status = (
             F.when((F.col("intake") == "P") & F.col("priority").isin("1-URGENT", "2-HIGH"), "PROCESSING")
@@ -149,8 +176,7 @@ class Tables:
         )
         return self.decided.select("application_id", *FEATURES, status.alias("status"), "created_at")
 
-    @property
-    def risk_scores(self) -> DataFrame:
+    def _risk_scores(self) -> DataFrame:
         """A rule score per application and a model score one day later where there is one."""
 
         def scores(source: DataFrame, version: str, value: Column, at: Column) -> DataFrame:
@@ -176,8 +202,7 @@ class Tables:
         )
         return first.unionByName(again)
 
-    @property
-    def decisions(self) -> DataFrame:
+    def _decisions(self) -> DataFrame:
         """A decision per application that is past intake."""
         delay = F.make_dt_interval((F.col("application_id") % 5).cast("int"))
         return self.decided.where(F.col("intake") != "P").select(

@@ -201,9 +201,9 @@ CONSTRAINTS = (
         ("status_check", "status NOT IN ('PENDING','PROCESSING','APPROVED','REJECTED','MANUAL_REVIEW')"),
     ]
 )
-CONSTRAINT_SQL = "SELECT application_id, unnest(list_filter([" + ", ".join(
+CONSTRAINT_SQL = "SELECT * FROM (SELECT application_id, unnest([" + ", ".join(
     f"CASE WHEN {rule} THEN '{name}' END" for name, rule in CONSTRAINTS
-) + "], x -> x IS NOT NULL)) AS constraint_name FROM applications"
+) + "]) AS constraint_name FROM applications) WHERE constraint_name IS NOT NULL"
 
 
 @query("constraint_violations", uses=("applications",), sql=CONSTRAINT_SQL)
