@@ -15,8 +15,19 @@ from pyspark.sql.window import Window
 
 #: Relative rank error of the sketch is one over this.
 ACCURACY = 10000
-#: Cut points per column for two-level running totals.
-CUTS = 64
+#: Slices per column for two-level running totals; a power of two.
+SLICES = 64
+#: Columns that their type (whole years, or a number with two decimals below
+#: 1000) holds to at most 100,000 distinct values: plain ``percentile`` suits them.
+SMALL_DOMAIN = frozenset(
+    {
+        "person_age",
+        "person_emp_length",
+        "loan_int_rate",
+        "loan_percent_income",
+        "cb_person_cred_hist_length",
+    }
+)
 
 
 def unpivoted(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
@@ -125,18 +136,26 @@ def quantile_values(
     """Quantiles as driver-side numbers, one per wanted (column, probability).
 
     Thresholds are few and small; as literals they keep the plans that use them
-    short and let Spark push them down.
+    short and let Spark push them down. Columns of a small domain take one
+    aggregate, the others the two scans of ``exact_quantiles``.
     """
-    if method == "approx":
+    function = F.percentile_approx if method == "approx" else F.percentile
+    simple = {name: ps for name, ps in wanted.items() if method == "approx" or name in SMALL_DOMAIN}
+    result: dict[str, dict[float, float | None]] = {}
+    if simple:
+        options = [ACCURACY] if method == "approx" else []
         row = df.agg(
             *[
-                F.percentile_approx(F.col(name).cast("double"), F.array(*[F.lit(p) for p in ps]), ACCURACY).alias(name)
-                for name, ps in wanted.items()
+                function(F.col(name).cast("double"), F.array(*[F.lit(p) for p in ps]), *options).alias(name)
+                for name, ps in simple.items()
             ]
         ).first()
-        return {name: dict(zip(ps, row[name] or [None] * len(ps))) for name, ps in wanted.items()}
-    found = {(row["column"], row["probability"]): row["quantile"] for row in exact_quantiles(df, wanted).collect()}
-    return {name: {p: found.get((name, p)) for p in ps} for name, ps in wanted.items()}
+        result = {name: dict(zip(ps, row[name] or [None] * len(ps))) for name, ps in simple.items()}
+    rest = {name: ps for name, ps in wanted.items() if name not in simple}
+    if rest:
+        found = {(r["column"], r["probability"]): r["quantile"] for r in exact_quantiles(df, rest).collect()}
+        result |= {name: {p: found.get((name, p)) for p in ps} for name, ps in rest.items()}
+    return result
 
 
 def value_counts(df: DataFrame, columns: list[str], measures: dict[str, Column], keep: list[str] = ()) -> DataFrame:
@@ -146,18 +165,24 @@ def value_counts(df: DataFrame, columns: list[str], measures: dict[str, Column],
     )
 
 
-def in_ranges(counts: DataFrame, cuts: int = CUTS) -> DataFrame:
+def in_ranges(counts: DataFrame, slices: int = SLICES) -> DataFrame:
     """Add ``range``: an ordered slice of each column's distinct values.
 
     The cut points come from a sketch per column (one small row each), so the
     slices hold about equally many distinct values whatever their distribution.
     Results never depend on where the cuts fall.
     """
-    probabilities = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+    probabilities = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     bounds = counts.groupBy("column").agg(F.percentile_approx("value", probabilities, ACCURACY).alias("bounds"))
     # One row per column of a fixed list, so this side stays small.
-    joined = counts.join(F.broadcast(bounds), "column")
-    return joined.withColumn("range", F.expr("size(filter(bounds, b -> b < value))")).drop("bounds")
+    placed = counts.join(F.broadcast(bounds), "column").withColumn("range", F.lit(0))
+    # Binary search, one projection per step: how many cuts lie below the value.
+    step = slices // 2
+    while step:
+        cut = F.element_at("bounds", F.col("range") + step)
+        placed = placed.withColumn("range", F.col("range") + F.when(cut < F.col("value"), step).otherwise(0))
+        step //= 2
+    return placed.drop("bounds")
 
 
 def largest_gap(counts: DataFrame, left: str, right: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from creditlens.plans.decisions import STATUS_SQL
 from creditlens.plans.fixture_sql import CACHE_KEY
-from creditlens.plans.fixtures import AS_OF, Tables, applications_from
+from creditlens.plans.fixtures import AS_OF, GIVEN, Tables, applications_from
 from creditlens.plans.portfolio import TOTALS_SQL
 from creditlens.plans.registry import query
 from creditlens.plans.shape import joined, rounded
@@ -21,7 +21,7 @@ from creditlens.streaming import flow
 
 def submitted(t: Tables):
     """Orders as a stream of applications, joined with the customers at rest."""
-    orders = stream_table(t.spark, t.folder, "orders", t.given("orders").schema)
+    orders = stream_table(t.spark, t.folder, "orders", GIVEN["orders"])
     return applications_from(orders, t.given("customer"))
 
 

@@ -24,6 +24,7 @@ def local_session(cores: int | str = 8, memory: str = "12g", app: str = "creditl
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     for key, value in SETTINGS.items():
