@@ -165,15 +165,20 @@ def value_counts(df: DataFrame, columns: list[str], measures: dict[str, Column],
     )
 
 
-def in_ranges(counts: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Add ``range``: an ordered slice of each column's distinct values.
+def in_ranges(counts: DataFrame, measures: list[str], slices: int = SLICES) -> DataFrame:
+    """Add ``range``, an ordered slice of each column's distinct values, and ``<measure>_all``.
 
     The cut points come from a sketch per column (one small row each), so the
     slices hold about equally many distinct values whatever their distribution.
-    Results never depend on where the cuts fall.
+    Results never depend on where the cuts fall. The totals ride along: with
+    them the side reads every column of the counts, and Spark runs the shuffle
+    behind both sides of the join once.
     """
     probabilities = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    bounds = counts.groupBy("column").agg(F.percentile_approx("value", probabilities, ACCURACY).alias("bounds"))
+    bounds = counts.groupBy("column").agg(
+        F.percentile_approx("value", probabilities, ACCURACY).alias("bounds"),
+        *[F.sum(name).alias(f"{name}_all") for name in measures],
+    )
     # One row per column of a fixed list, so this side stays small.
     placed = counts.join(F.broadcast(bounds), "column").withColumn("range", F.lit(0))
     # Binary search, one projection per step: how many cuts lie below the value.
@@ -193,14 +198,13 @@ def largest_gap(counts: DataFrame, left: str, right: str) -> DataFrame:
     slices are chained: no task sees more than one slice, and the last step
     only one row per slice.
     """
-    totals = counts.groupBy("column").agg(F.sum(left).alias("left_all"), F.sum(right).alias("right_all"))
+    left_all, right_all = f"{left}_all", f"{right}_all"
     inside = Window.partitionBy("column", "range").orderBy("value")
-    gap = F.sum(left).over(inside) / F.col("left_all") - F.sum(right).over(inside) / F.col("right_all")
+    gap = F.sum(left).over(inside) / F.col(left_all) - F.sum(right).over(inside) / F.col(right_all)
     slices = (
-        in_ranges(counts)
-        .join(F.broadcast(totals), "column")
+        in_ranges(counts, [left, right])
         .withColumn("gap", gap)
-        .groupBy("column", "range", "left_all", "right_all")
+        .groupBy("column", "range", F.col(left_all).alias("left_all"), F.col(right_all).alias("right_all"))
         .agg(
             F.sum(left).alias("left_in"),
             F.sum(right).alias("right_in"),
@@ -239,7 +243,7 @@ def area_under_roc(df: DataFrame, score: str, label: str) -> DataFrame:
     inside = Window.partitionBy("column", "range").orderBy("value")
     below = F.sum("neg").over(inside) - F.col("neg")
     slices = (
-        in_ranges(counts)
+        in_ranges(counts, ["pos", "neg"])
         .withColumn("pairs", F.col("pos") * (below + F.col("neg") / F.lit(2.0)))
         .groupBy("column", "range")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("pairs").alias("pairs"))
