@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from creditlens.functions import bands
 from creditlens.functions.bands import flag
 from creditlens.functions.scoring import lookup
+from creditlens.operators.profiling import top_values
 from creditlens.operators.quantiles import quantile_values
 from creditlens.schemas import HOME_OWNERSHIP, LOAN_INTENTS, NUMERIC_FEATURES
 from creditlens.session import lookup_side
@@ -201,21 +202,46 @@ def complete_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def feature_stages(numbers: list[str] = SCALED, categories: list[str] = ENCODED) -> list:
-    """Index, one-hot encode, scale and assemble as stages of one ML pipeline."""
-    indexed = [f"{c}_indexed" for c in categories]
-    encoded = [f"{c}_encoded" for c in categories]
-    return [
-        StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded),
+def indexer(df: DataFrame, categories: list[str]) -> StringIndexerModel:
+    """Levels of all categories, most frequent first, from one counting pass.
+
+    Only the top levels per column reach the driver; a column with more than
+    ``MAX_LEVELS`` is refused, since its vectors would be as wide as its values.
+    """
+    rows = top_values(df, categories, MAX_LEVELS + 1).select("column_name", "value", "rank").collect()
+    levels: dict[str, list[str]] = {name: [] for name in categories}
+    for row in sorted(rows, key=lambda r: (r["column_name"], r["rank"])):
+        levels[row["column_name"]].append(row["value"])
+    wide = [name for name, values in levels.items() if len(values) > MAX_LEVELS]
+    if wide:
+        raise ValueError(f"{wide} have more than {MAX_LEVELS} levels, too many to encode")
+    return StringIndexerModel.from_arrays_of_labels(
+        [levels[name] for name in categories],
+        inputCols=categories,
+        outputCols=[f"{name}_indexed" for name in categories],
+        handleInvalid="keep",
+    )
+
+
+def encoding_stages(df: DataFrame, categories: list[str] = ENCODED) -> list:
+    """Index and one-hot encode the categories."""
+    encoder = OneHotEncoder(
+        inputCols=[f"{name}_indexed" for name in categories],
+        outputCols=[f"{name}_encoded" for name in categories],
+    )
+    return [indexer(df, categories), encoder]
+
+
+def fit_features(df: DataFrame, numbers: list[str] = SCALED, categories: list[str] = ENCODED) -> PipelineModel:
+    """Index, one-hot encode, scale and assemble, fitted as one model."""
+    encoded = [f"{name}_encoded" for name in categories]
+    stages = [
+        *encoding_stages(df, categories),
         VectorAssembler(inputCols=numbers, outputCol="numerical_features"),
         StandardScaler(inputCol="numerical_features", outputCol="scaled_features", withMean=True, withStd=True),
         VectorAssembler(inputCols=["scaled_features", *encoded], outputCol="features"),
     ]
-
-
-def fit_features(df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=feature_stages()).fit(df)
+    return Pipeline(stages=stages).fit(df)
 
 
 def hash_value(key: str) -> Column:

@@ -1,5 +1,6 @@
 """Queries: features, encodings, scaling and splits."""
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -299,11 +300,8 @@ def _derived(t: Tables):
 
 @query("enc_onehot_vector")
 def enc_onehot_vector(t: Tables):
-    stages = ops.feature_stages()[:2]
-    from pyspark.ml import Pipeline
-
     derived = _derived(t)
-    encoded = Pipeline(stages=stages).fit(derived).transform(derived)
+    encoded = Pipeline(stages=ops.encoding_stages(derived)).fit(derived).transform(derived)
     return encoded.select(
         "application_id", *[vector_to_array(f"{c}_encoded").alias(f"{c}_encoded") for c in ops.ENCODED]
     )

@@ -17,6 +17,10 @@ SETTINGS = {
 }
 
 
+#: Folders of local applications that name none, by application id.
+OWN_FOLDERS: dict[str, str] = {}
+
+
 def local_session(cores: int | str = 8, memory: str = "12g", app: str = "creditlens") -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
     builder = (
@@ -46,9 +50,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="creditlens-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    key = spark.sparkContext.applicationId
+    if key not in OWN_FOLDERS:
+        OWN_FOLDERS[key] = tempfile.mkdtemp(prefix="creditlens-")
+    return OWN_FOLDERS[key]
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

@@ -48,29 +48,25 @@ def read_modified_between(spark: SparkSession, folder: str, start: str, end: str
 def arff_attributes(spark: SparkSession, path: str) -> list[str]:
     """Attribute names of an ARFF header, in file order.
 
-    The header is as long as the table is wide, so its names fit the driver. They
-    are ordered by file, block and line, which a plain text scan keeps.
+    One file that has a header is found, and its names, as many as the table is
+    wide, are ordered by block and line, which a plain text scan keeps.
     """
-    name = F.regexp_extract("value", r"(?i)^\s*@attribute\s+(\w+)", 1)
+    is_attribute = F.col("value").rlike(r"(?i)^\s*@attribute\s")
+    found = spark.read.text(path).where(is_attribute).select(F.col("_metadata.file_path").alias("file")).first()
+    if found is None:
+        raise ValueError("No attributes found in ARFF text")
     header = (
-        spark.read.text(path)
-        .where(F.col("value").rlike(r"(?i)^\s*@attribute\s"))
+        spark.read.text(found["file"])
+        .where(is_attribute)
         .select(
-            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
-            name.alias("name"),
+            F.regexp_extract("value", r"(?i)^\s*@attribute\s+(\w+)", 1).alias("name"),
         )
-        .orderBy("file", "block", "line")
+        .orderBy("block", "line")
         .collect()
     )
-    names: list[str] = []
-    for row in header:
-        if row["file"] == header[0]["file"]:
-            names.append(row["name"])
-    if not names:
-        raise ValueError("No attributes found in ARFF text")
-    return names
+    return [row["name"] for row in header]
 
 
 def read_arff(spark: SparkSession, path: str) -> DataFrame:
