@@ -202,7 +202,7 @@ def complete_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def indexer(df: DataFrame, categories: list[str]) -> StringIndexerModel:
+def indexers(df: DataFrame, categories: list[str]) -> list[StringIndexerModel]:
     """Levels of all categories, most frequent first, from one counting pass.
 
     Only the top levels per column reach the driver; a column with more than
@@ -215,12 +215,12 @@ def indexer(df: DataFrame, categories: list[str]) -> StringIndexerModel:
     wide = [name for name, values in levels.items() if len(values) > MAX_LEVELS]
     if wide:
         raise ValueError(f"{wide} have more than {MAX_LEVELS} levels, too many to encode")
-    return StringIndexerModel.from_arrays_of_labels(
-        [levels[name] for name in categories],
-        inputCols=categories,
-        outputCols=[f"{name}_indexed" for name in categories],
-        handleInvalid="keep",
-    )
+    return [
+        StringIndexerModel.from_labels(
+            levels[name], inputCol=name, outputCol=f"{name}_indexed", handleInvalid="keep"
+        )
+        for name in categories
+    ]
 
 
 def encoding_stages(df: DataFrame, categories: list[str] = ENCODED) -> list:
@@ -229,7 +229,7 @@ def encoding_stages(df: DataFrame, categories: list[str] = ENCODED) -> list:
         inputCols=[f"{name}_indexed" for name in categories],
         outputCols=[f"{name}_encoded" for name in categories],
     )
-    return [indexer(df, categories), encoder]
+    return [*indexers(df, categories), encoder]
 
 
 def fit_features(df: DataFrame, numbers: list[str] = SCALED, categories: list[str] = ENCODED) -> PipelineModel:

@@ -83,7 +83,7 @@ def test_too_many_levels_are_refused(spark):
     with pytest.raises(ValueError, match="more than 50"):
         features.levels_of(frame, ["c"])
     with pytest.raises(ValueError, match="more than 50"):
-        features.indexer(frame, ["c"])
+        features.indexers(frame, ["c"])
 
 
 def test_arff_text(spark, tmp_path):
