@@ -2,15 +2,37 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Points the rule score adds, in the order they are added.
-BASE_SCORE = 0.5
-GRADE_POINTS = {"A": -0.2, "B": -0.1, "C": 0.0, "D": 0.1, "E": 0.2, "F": 0.3, "G": 0.4}
-UNKNOWN_GRADE_POINTS = 0.1
+# The rule score, its terms in the order they are added.
+RULE_SCORE = """
+  0.5D
+  + CASE WHEN cb_person_default_on_file = 'Y' THEN 0.3D ELSE 0D END
+  + CASE WHEN loan_percent_income > 0.3D THEN 0.2D ELSE 0D END
+  + CASE WHEN cb_person_cred_hist_length < 2 THEN 0.15D ELSE 0D END
+  + CASE WHEN person_emp_length < 2 THEN 0.1D ELSE 0D END
+  + CASE WHEN person_income < 30000 THEN 0.1D ELSE 0D END
+  + CASE loan_grade WHEN 'A' THEN -0.2D WHEN 'B' THEN -0.1D WHEN 'C' THEN 0D WHEN 'D' THEN 0.1D
+      WHEN 'E' THEN 0.2D WHEN 'F' THEN 0.3D WHEN 'G' THEN 0.4D ELSE 0.1D END
+"""
+
+# Override rules in order of precedence (label, condition, new
+# decision). A missing amount or history counts as 0, which only matters where
+# small values are let through.
+OVERRIDE_RULES = [
+    ("R1a", "person_income > 150000 AND base_decision = 'AUTO_REJECT' AND risk_score < 0.8D", "MANUAL_REVIEW"),
+    ("R1b", "person_income > 150000 AND base_decision = 'MANUAL_REVIEW' AND risk_score < 0.5D", "AUTO_APPROVE"),
+    ("R2", "coalesce(loan_amnt, 0) < 5000 AND base_decision = 'AUTO_REJECT' AND risk_score < 0.8D", "MANUAL_REVIEW"),
+    ("R3a", "loan_amnt > 100000 AND base_decision = 'AUTO_APPROVE' AND risk_score > 0.25D", "MANUAL_REVIEW"),
+    ("R3b", "loan_amnt > 100000 AND base_decision = 'MANUAL_REVIEW' AND risk_score > 0.6D", "AUTO_REJECT"),
+    ("R4", "person_emp_length > 10 AND base_decision = 'MANUAL_REVIEW' AND risk_score < 0.4D", "AUTO_APPROVE"),
+    ("R5a", "cb_person_default_on_file = 'Y' AND base_decision = 'AUTO_APPROVE'", "MANUAL_REVIEW"),
+    ("R5b", "cb_person_default_on_file = 'Y' AND base_decision <> 'AUTO_APPROVE' AND risk_score > 0.6D", "AUTO_REJECT"),
+    ("R6", "coalesce(cb_person_cred_hist_length, 0) < 1 AND base_decision = 'AUTO_APPROVE'", "MANUAL_REVIEW"),
+    ("R7a", "loan_percent_income > 0.4D AND base_decision = 'AUTO_APPROVE'", "MANUAL_REVIEW"),
+    ("R7b", "loan_percent_income > 0.4D AND base_decision = 'MANUAL_REVIEW' AND risk_score > 0.5D", "AUTO_REJECT"),
+]
 
 # Approval probability per decision.
 APPROVAL_PROBABILITY = {"AUTO_APPROVE": 0.95, "MANUAL_REVIEW": 0.6, "AUTO_REJECT": 0.05}
@@ -32,26 +54,13 @@ def clamp(value: Column, low: float = 0.0, high: float = 1.0) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
-def points(condition: Column, amount: float) -> Column:
-    return F.when(condition, F.lit(amount)).otherwise(F.lit(0.0))
-
-
 def rule_score() -> Column:
     """Risk from the stated facts alone, for when no model answers.
 
     The terms are doubles and summed left to right, since results are compared
     with 0.3, 0.6 and 0.7 and another order moves the last bit.
     """
-    terms = [
-        F.lit(BASE_SCORE),
-        points(F.col("cb_person_default_on_file") == "Y", 0.3),
-        points(F.col("loan_percent_income") > 0.3, 0.2),
-        points(F.col("cb_person_cred_hist_length") < 2, 0.15),
-        points(F.col("person_emp_length") < 2, 0.1),
-        points(F.col("person_income") < 30000, 0.1),
-        lookup(F.col("loan_grade"), GRADE_POINTS, UNKNOWN_GRADE_POINTS),
-    ]
-    return clamp(reduce(lambda left, right: left + right, terms))
+    return F.expr(f"greatest(0D, least(1D, {RULE_SCORE}))")
 
 
 def score_or_fallback(model_score: Column) -> Column:
@@ -88,41 +97,16 @@ def decision_reason(risk: Column) -> Column:
     )
 
 
-def override_rules(base: Column, risk: Column) -> list[tuple[str, Column, str]]:
-    """Override rules in order of precedence: (label, condition, new decision)."""
-
-    def number(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-
-    income, loan = number("person_income"), number("loan_amnt")
-    employment, history = number("person_emp_length"), number("cb_person_cred_hist_length")
-    debt = number("loan_percent_income")
-    defaulted = F.coalesce(F.col("cb_person_default_on_file") == "Y", F.lit(False))
-    approve, review, reject = base == "AUTO_APPROVE", base == "MANUAL_REVIEW", base == "AUTO_REJECT"
-    return [
-        ("R1a", (income > 150000) & reject & (risk < 0.8), "MANUAL_REVIEW"),
-        ("R1b", (income > 150000) & review & (risk < 0.5), "AUTO_APPROVE"),
-        ("R2", (loan < 5000) & reject & (risk < 0.8), "MANUAL_REVIEW"),
-        ("R3a", (loan > 100000) & approve & (risk > 0.25), "MANUAL_REVIEW"),
-        ("R3b", (loan > 100000) & review & (risk > 0.6), "AUTO_REJECT"),
-        ("R4", (employment > 10) & review & (risk < 0.4), "AUTO_APPROVE"),
-        ("R5a", defaulted & approve, "MANUAL_REVIEW"),
-        ("R5b", defaulted & ~approve & (risk > 0.6), "AUTO_REJECT"),
-        ("R6", (history < 1) & approve, "MANUAL_REVIEW"),
-        ("R7a", (debt > 0.4) & approve, "MANUAL_REVIEW"),
-        ("R7b", (debt > 0.4) & review & (risk > 0.5), "AUTO_REJECT"),
-    ]
-
-
-def rule_fired(base: Column, risk: Column) -> Column:
-    """Label of the first override that holds, null when none does."""
-    rules = override_rules(base, risk)
-    return F.coalesce(*[F.when(condition, F.lit(label)) for label, condition, _ in rules])
-
-
-def final_decision(base: Column, fired: Column) -> Column:
-    outcomes = {label: outcome for label, _, outcome in override_rules(base, F.lit(0.0))}
-    return F.coalesce(F.element_at(literal_map(outcomes), fired), base)
+def rule_fired() -> Column:
+    """Label of the first override that holds on base_decision and risk_score, null when none does."""
+    branches = " ".join(f"WHEN {condition} THEN '{label}'" for label, condition, _ in OVERRIDE_RULES)
+    return F.expr(f"CASE {branches} END")
+
+
+def final_decision() -> Column:
+    """What the rule that fired decides, else the base decision."""
+    branches = " ".join(f"WHEN '{label}' THEN '{outcome}'" for label, _, outcome in OVERRIDE_RULES)
+    return F.expr(f"CASE rule_fired {branches} ELSE base_decision END")
 
 
 def approval_probability(decision: Column) -> Column:

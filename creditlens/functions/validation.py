@@ -44,60 +44,54 @@ SCORING_DOMAINS = [
 ]
 
 
-def messages(*checks: Column) -> Column:
-    """The messages that apply, in order."""
-    return F.array_compact(F.array(*checks))
+def text(value: str) -> str:
+    """A string literal of an SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def as_number(name: str) -> Column:
-    return F.col(name).try_cast("double")
+def number(name: str) -> str:
+    return f"try_cast({name} AS double)"
 
 
-def required_errors(fields: list[str] = REQUIRED_FIELDS) -> Column:
-    return messages(
-        *[F.when(F.col(name).isNull(), F.lit(f"Missing required field: {name}")) for name in fields]
-    )
+def messages(checks: list[str]) -> Column:
+    """The messages that apply, in order; each check is an expression of a message or null."""
+    return F.expr(f"array_compact(array({', '.join(checks)}))")
 
 
-def _number_check(name: str, low: float, high: float, bounds: str) -> Column:
-    value = as_number(name)
-    return F.when(value.isNull(), F.lit(f"{name} must be a valid number")).when(
-        ~value.between(low, high), F.lit(f"{name} must be between {bounds}")
-    )
+def _required(fields: list[str]) -> list[str]:
+    return [f"CASE WHEN {name} IS NULL THEN {text(f'Missing required field: {name}')} END" for name in fields]
 
 
-def _domain_check(name: str, allowed: list[str]) -> Column:
-    member = F.coalesce(F.col(name).isin(allowed), F.lit(False))
-    return F.when(~member, F.lit(f"{name} must be one of: {allowed}"))
+def required_errors(fields: list[str] = REQUIRED_FIELDS) -> Column:
+    return messages(_required(fields))
 
 
 def type_errors() -> Column:
     """Type, range and domain checks at submission."""
-    numbers = [_number_check(*rule) for rule in SUBMISSION_RANGES]
-    domains = [_domain_check(*rule) for rule in SUBMISSION_DOMAINS]
-    return messages(*numbers, *domains)
+    ranges = [
+        f"CASE WHEN {number(name)} IS NULL THEN {text(f'{name} must be a valid number')} "
+        f"WHEN {number(name)} NOT BETWEEN {low} AND {high} THEN {text(f'{name} must be between {bounds}')} END"
+        for name, low, high, bounds in SUBMISSION_RANGES
+    ]
+    domains = [
+        f"CASE WHEN {name} IS NULL OR {name} NOT IN ({', '.join(map(text, allowed))}) "
+        f"THEN {text(f'{name} must be one of: {allowed}')} END"
+        for name, allowed in SUBMISSION_DOMAINS
+    ]
+    return messages([*ranges, *domains])
 
 
 def scoring_errors() -> Column:
     """Checks before scoring; a null counts as a missing field."""
-    missing = [
-        F.when(F.col(name).isNull(), F.lit(f"Missing required field: {name}"))
-        for name in SCORING_REQUIRED_FIELDS
+    ranges = [
+        f"CASE WHEN {name} IS NOT NULL AND {number(name)} IS NULL THEN {text(f'Field {name} must be numeric')} "
+        f"WHEN {number(name)} NOT BETWEEN {low} AND {high} "
+        f"THEN {text(f'Field {name} out of range [{low}, {high}]')} END"
+        for name, low, high in SCORING_RANGES
     ]
-
-    def ranged(name: str, low: float, high: float) -> Column:
-        value = as_number(name)
-        return F.when(
-            F.col(name).isNotNull() & value.isNull(), F.lit(f"Field {name} must be numeric")
-        ).when(~value.between(low, high), F.lit(f"Field {name} out of range [{low}, {high}]"))
-
-    def member(name: str, allowed: list[str]) -> Column:
-        return F.when(
-            ~F.col(name).isin(allowed), F.concat(F.lit(f"Field {name} has invalid value: "), F.col(name))
-        )
-
-    return messages(
-        *missing,
-        *[ranged(*rule) for rule in SCORING_RANGES],
-        *[member(*rule) for rule in SCORING_DOMAINS],
-    )
+    domains = [
+        f"CASE WHEN {name} NOT IN ({', '.join(map(text, allowed))}) "
+        f"THEN concat({text(f'Field {name} has invalid value: ')}, {name}) END"
+        for name, allowed in SCORING_DOMAINS
+    ]
+    return messages([*_required(SCORING_REQUIRED_FIELDS), *ranges, *domains])

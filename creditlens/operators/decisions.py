@@ -25,10 +25,10 @@ def decide(df: DataFrame) -> DataFrame:
     return (
         df.withColumn("risk_score", risk)
         .withColumn("base_decision", scoring.base_decision(F.col("risk_score")))
-        .withColumn("rule_fired", scoring.rule_fired(F.col("base_decision"), F.col("risk_score")))
+        .withColumn("rule_fired", scoring.rule_fired())
         .withColumns(
             {
-                "decision": scoring.final_decision(F.col("base_decision"), F.col("rule_fired")),
+                "decision": scoring.final_decision(),
                 "decision_reason": scoring.decision_reason(F.col("risk_score")),
                 "risk_level": scoring.risk_level(F.col("risk_score")),
             }

@@ -215,14 +215,21 @@ def target_distribution(df: DataFrame, target: str = "loan_status") -> DataFrame
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, over the rows where both are set."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}#{b}") for a, b in pairs])
-    rows = [
-        F.struct(F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), F.col(f"{a}#{b}").alias("correlation"))
-        for a, b in pairs
+    """Pearson correlation of every pair of columns, over the rows where both are set.
+
+    Grouping by pair keeps the generated code small enough to be compiled to
+    machine code, which one aggregate with all pairs is not; only one row per
+    pair and task is shuffled.
+    """
+    pairs = [
+        f"named_struct('left_column', '{a}', 'right_column', '{b}', 'x', double({a}), 'y', double({b}))"
+        for a, b in combinations(columns, 2)
     ]
-    return wide.select(F.inline(F.array(*rows)))
+    return (
+        df.selectExpr(f"inline(array({', '.join(pairs)}))")
+        .groupBy("left_column", "right_column")
+        .agg(F.corr("x", "y").alias("correlation"))
+    )
 
 
 def high_correlations(df: DataFrame, columns: list[str]) -> DataFrame:

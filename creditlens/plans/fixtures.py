@@ -45,41 +45,34 @@ SNAPSHOT_COLUMNS = [
 ]
 
 
-def choose(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(value) for value in values]), (index + 1).cast("int"))
+# One application per order; what is missing or impossible follows from the keys.
+APPLICATION_EXPRESSIONS = [
+    "o_orderkey AS application_id",
+    "CAST(15 + o_custkey % 90 AS int) AS person_age",
+    "CAST(floor(c_acctbal * 20) AS double) AS person_income",
+    """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'OWN' WHEN 'MACHINERY' THEN 'MORTGAGE'
+       WHEN 'HOUSEHOLD' THEN 'OTHER' ELSE 'RENT' END AS person_home_ownership""",
+    "CASE WHEN o_orderkey % 31 <> 0 THEN CAST(o_orderkey % 60 AS double) END AS person_emp_length",
+    f"element_at(array({', '.join(map(repr, LOAN_INTENTS))}), CAST(o_orderkey % 6 + 1 AS int)) AS loan_intent",
+    f"element_at(array({', '.join(map(repr, LOAN_GRADES))}), CAST(o_orderkey % 7 + 1 AS int)) AS loan_grade",
+    """CASE WHEN o_orderkey % 97 = 0 THEN -1 ELSE 1 END * CAST(floor(o_totalprice / 4) AS double) AS loan_amnt""",
+    "CASE WHEN o_orderkey % 11 <> 0 THEN 5D + (o_orderkey % 180) / 10D END AS loan_int_rate",
+    "(o_orderkey % 110) / 100D AS loan_percent_income",
+    "CASE WHEN o_custkey % 7 = 0 THEN 'Y' ELSE 'N' END AS cb_person_default_on_file",
+    "CAST(o_custkey % 30 AS int) AS cb_person_cred_hist_length",
+    "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS loan_status",
+    "o_orderdate AS created_at",
+    "CASE WHEN o_orderkey % 13 <> 0 THEN (o_orderkey * 37 % 1000) / 1000D END AS model_score",
+    "CASE WHEN o_orderkey % 4 <> 0 THEN concat('UW-', o_orderkey % 12) END AS underwriter_id",
+    "o_orderstatus AS intake",
+    "o_orderpriority AS priority",
+]
 
 
 def applications_from(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Applications from orders and their customers; works on streams of orders too."""
     joined = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
-    key, buyer = F.col("o_orderkey"), F.col("o_custkey")
-    ownership = (
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", "OWN")
-        .when(F.col("c_mktsegment") == "MACHINERY", "MORTGAGE")
-        .when(F.col("c_mktsegment") == "HOUSEHOLD", "OTHER")
-        .otherwise("RENT")
-    )
-    amount = F.floor(F.col("o_totalprice") / 4).cast("double")
-    return joined.select(
-        key.alias("application_id"),
-        (F.lit(15) + buyer % 90).cast("int").alias("person_age"),
-        F.floor(F.col("c_acctbal") * 20).cast("double").alias("person_income"),
-        ownership.alias("person_home_ownership"),
-        F.when(key % 31 != 0, (key % 60).cast("double")).alias("person_emp_length"),
-        choose(LOAN_INTENTS, key % 6).alias("loan_intent"),
-        choose(LOAN_GRADES, key % 7).alias("loan_grade"),
-        F.when(key % 97 == 0, -amount).otherwise(amount).alias("loan_amnt"),
-        F.when(key % 11 != 0, F.lit(5.0) + (key % 180) / F.lit(10.0)).alias("loan_int_rate"),
-        ((key % 110) / F.lit(100.0)).alias("loan_percent_income"),
-        F.when(buyer % 7 == 0, "Y").otherwise("N").alias("cb_person_default_on_file"),
-        (buyer % 30).cast("int").alias("cb_person_cred_hist_length"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("loan_status"),
-        F.col("o_orderdate").alias("created_at"),
-        F.when(key % 13 != 0, (key * 37 % 1000) / F.lit(1000.0)).alias("model_score"),
-        F.when(key % 4 != 0, F.concat(F.lit("UW-"), (key % 12).cast("string"))).alias("underwriter_id"),
-        F.col("o_orderstatus").alias("intake"),
-        F.col("o_orderpriority").alias("priority"),
-    )
+    return joined.selectExpr(*APPLICATION_EXPRESSIONS)
 
 
 #: Schemas of the given tables that are read most; they save an inference job.

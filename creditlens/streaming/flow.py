@@ -19,13 +19,10 @@ from creditlens.session import run_folder
 
 def validate(df: DataFrame) -> DataFrame:
     """Add the failing phase and its errors; ranges are looked at once all fields are there."""
-    required, types = required_errors(), type_errors()
-    return df.withColumns(
-        {
-            "failed_phase": F.when(F.size(required) > 0, "required").when(F.size(types) > 0, "types"),
-            "errors": F.when(F.size(required) > 0, required).otherwise(types),
-        }
-    )
+    checked = df.withColumns({"__required": required_errors(), "__types": type_errors()})
+    phase = "CASE WHEN size(__required) > 0 THEN 'required' WHEN size(__types) > 0 THEN 'types' END"
+    errors = "CASE WHEN size(__required) > 0 THEN __required ELSE __types END"
+    return checked.selectExpr(*df.columns, f"{phase} AS failed_phase", f"{errors} AS errors")
 
 
 def accepted(df: DataFrame) -> DataFrame:
