@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from creditlens.functions import scoring
 from creditlens.functions.validation import scoring_errors
@@ -104,17 +105,13 @@ def batch_summary(df: DataFrame) -> DataFrame:
         F.sum("risk_score").alias("score_sum"),
         F.sum("confidence_score").alias("confidence_sum"),
     )
-    total = levels.agg(
-        F.struct(
-            F.sum("records").alias("records"),
-            F.sum("score_sum").alias("score_sum"),
-            F.sum("confidence_sum").alias("confidence_sum"),
-        ).alias("total")
-    ).scalar()
+    # The window holds one row per level.
+    every = Window.partitionBy(F.lit(0))
+    total = F.sum("records").over(every)
     return levels.select(
         "risk_level",
         "records",
-        total["records"].alias("total_records"),
-        F.try_divide(total["score_sum"], total["records"]).alias("average_risk_score"),
-        F.try_divide(total["confidence_sum"], total["records"]).alias("average_confidence"),
+        total.alias("total_records"),
+        F.try_divide(F.sum("score_sum").over(every), total).alias("average_risk_score"),
+        F.try_divide(F.sum("confidence_sum").over(every), total).alias("average_confidence"),
     )

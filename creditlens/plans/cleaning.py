@@ -132,17 +132,18 @@ def impute_all_median(t: Tables):
 REST = """person_home_ownership, loan_intent, loan_grade, loan_percent_income, cb_person_default_on_file,
   cb_person_cred_hist_length, loan_status"""
 
-CLEAN_JOB_SQL = f""", distinct_feed AS (SELECT DISTINCT * FROM feed_dup),
+CLEAN_JOB_TABLES = f""", distinct_feed AS (SELECT DISTINCT * FROM feed_dup),
 base AS (SELECT application_id, {REST}, least(person_age, 100) AS person_age, {FLOORED}, loan_int_rate,
   CASE WHEN person_emp_length > 50 THEN 50 ELSE person_emp_length END AS person_emp_length FROM distinct_feed),
 limits AS (SELECT quantile_cont(person_income, 0.99) AS income, quantile_cont(loan_amnt, 0.99) AS loan FROM base),
 capped AS (SELECT * REPLACE (least(person_income, income) AS person_income, least(loan_amnt, loan) AS loan_amnt),
   {AGE_GROUP_OPEN} AS g FROM base CROSS JOIN limits),
 rates AS (SELECT loan_grade, median(loan_int_rate) AS rate FROM capped GROUP BY loan_grade),
-years AS (SELECT g, median(person_emp_length) AS emp FROM capped GROUP BY g)
-SELECT application_id, {REST}, person_age, round(person_income, 6) AS person_income, round(loan_amnt, 6) AS loan_amnt,
+years AS (SELECT g, median(person_emp_length) AS emp FROM capped GROUP BY g)"""
+CLEAN_JOB_RESULT = f"""SELECT application_id, {REST}, person_age, round(person_income, 6) AS person_income, round(loan_amnt, 6) AS loan_amnt,
   coalesce(loan_int_rate, rate) AS loan_int_rate, coalesce(person_emp_length, emp) AS person_emp_length
 FROM capped LEFT JOIN rates USING (loan_grade) LEFT JOIN years USING (g)"""
+CLEAN_JOB_SQL = f"{CLEAN_JOB_TABLES} {CLEAN_JOB_RESULT}"
 
 
 @query("clean_job", uses=("feed_dup",), sql=CLEAN_JOB_SQL)

@@ -233,17 +233,20 @@ def scoring_features(t: Tables):
 @query(
     "scale_numeric",
     uses=("apps",),
-    sql="SELECT application_id, "
+    sql=f", derived AS (SELECT *, {STABLE} AS employment_stability, person_income / nullif(loan_amnt, 0) AS income_to_loan_ratio FROM apps) "
+    + "SELECT application_id, "
     + ", ".join(
-        f"round(({c} - (SELECT avg({c}) FROM apps)) / (SELECT stddev_samp({c}) FROM apps), 6) AS {c}_scaled"
-        for c in NUMERIC_FEATURES
+        f"round(({c} - (SELECT avg({c}) FROM derived)) / (SELECT stddev_samp({c}) FROM derived), 6) AS {c}_scaled"
+        for c in ops.SCALED
     )
-    + " FROM apps",
+    + " FROM derived",
 )
 def scale_numeric(t: Tables):
-    scaled = ops.standardise(t.apps, NUMERIC_FEATURES)
-    names = [f"{c}_scaled" for c in NUMERIC_FEATURES]
-    return rounded(scaled.select("application_id", *names), *names)
+    derived = t.apps.withColumns(
+        {"employment_stability": bands.employment_stability(), "income_to_loan_ratio": bands.income_to_loan()}
+    )
+    names = [f"{c}_scaled" for c in ops.SCALED]
+    return rounded(ops.standardise(derived, ops.SCALED).select("application_id", *names), *names)
 
 
 HASH = "CAST('0x' || substr(md5(application_id::VARCHAR), 1, 8) AS BIGINT)"

@@ -6,9 +6,9 @@ from creditlens.operators import cleaning, quality
 from creditlens.plans.fixtures import AS_OF, CLEAN_COLUMNS, FEATURES, Tables
 from creditlens.plans.registry import query
 from creditlens.plans.shape import as_text, rounded
-from creditlens.plans.cleaning import CLEAN_JOB_SQL, COLUMNS
+from creditlens.plans.cleaning import CLEAN_JOB_RESULT, CLEAN_JOB_TABLES, COLUMNS
 from creditlens.schemas import APPLICATION, COERCIONS, EVENT_ENVELOPE
-from creditlens.session import run_folder
+from creditlens.session import run_folder, staged
 from creditlens.sources import events, readers, writers
 
 KINDS = {"int": "INTEGER", "double": "DOUBLE"}
@@ -97,17 +97,25 @@ def src_time_window(t: Tables):
     return readers.read_modified_between(t.spark, base, "2020-01-01T00:00:00", "2100-01-01T00:00:00", schema)
 
 
+NULL_COLUMNS = " + ".join(
+    f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) * 100.0::DOUBLE / count(*) > 5 THEN 1 ELSE 0 END" for c in CLEAN_COLUMNS
+)
+
+
 @query(
     "sink_cleaned",
     uses=("feed_dup",),
-    sql=CLEAN_JOB_SQL,
+    sql=f"""{CLEAN_JOB_TABLES}, cleaned AS ({CLEAN_JOB_RESULT})
+SELECT *, '{AS_OF}' AS processing_date, 'data-ingestion' AS job_name,
+  (SELECT round(1.0::DOUBLE - ({NULL_COLUMNS}) * 0.1::DOUBLE, 6) FROM cleaned) AS quality_score FROM cleaned""",
 )
 def sink_cleaned(t: Tables):
-    cleaned = cleaning.clean_job(t.feed_dup)
+    cleaned = staged(cleaning.clean_job(t.feed_dup), "cleaned")
+    score = quality.ingestion_score(quality.ingestion_report(cleaned))
     path = f"{run_folder(t.spark, 'cleaned')}/cleaned"
-    # Written once with its score: the report reads the cleaned rows from the file.
-    writers.save_cleaned(cleaned, path, AS_OF, "data-ingestion", 1.0)
-    return rounded(t.spark.read.parquet(path).select(*cleaned.columns), "person_income", "loan_amnt")
+    writers.save_cleaned(cleaned, path, AS_OF, "data-ingestion", score)
+    written = t.spark.read.parquet(path)
+    return as_text(rounded(written, "person_income", "loan_amnt", "quality_score"), "processing_date")
 
 
 @query("sink_csv", uses=("feed",), sql=f"SELECT {COLUMNS} FROM feed")

@@ -14,6 +14,12 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Keyed stream state lives on disk, not in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # HotSpot leaves methods above this size to its interpreter.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
