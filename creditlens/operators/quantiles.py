@@ -30,10 +30,16 @@ SMALL_DOMAIN = frozenset(
 )
 
 
+def number(name: str) -> Column:
+    """A column as double, with NaN as null: statistics leave both out."""
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def unpivoted(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
     """Rows (column, value) of numeric columns, as doubles, without nulls."""
     pairs = F.array(
-        *[F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value")) for name in columns]
+        *[F.struct(F.lit(name).alias("column"), number(name).alias("value")) for name in columns]
     )
     return df.select(*keep, F.inline(pairs)).where(F.col("value").isNotNull())
 
@@ -55,7 +61,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
     def edges(name: str) -> list[float]:
         return [edge for p in asked[name] for edge in (max(0.0, p - margin), min(1.0, p + margin))]
 
-    source = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    source = df.select(*[number(name).alias(name) for name in columns])
     sketches = source.agg(
         *[F.count(name).alias(f"{name}#n") for name in columns],
         *[
@@ -146,7 +152,7 @@ def quantile_values(
         options = [ACCURACY] if method == "approx" else []
         row = df.agg(
             *[
-                function(F.col(name).cast("double"), F.array(*[F.lit(p) for p in ps]), *options).alias(name)
+                function(number(name), F.array(*[F.lit(p) for p in ps]), *options).alias(name)
                 for name, ps in simple.items()
             ]
         ).first()

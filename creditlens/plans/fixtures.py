@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from creditlens.functions import scoring
 from creditlens.schemas import COERCIONS, LOAN_GRADES, LOAN_INTENTS
-from creditlens.session import staged
+from creditlens.session import run_folder
+from creditlens.sources.writers import save_bucketed
 
 #: "Now" in every query that depends on the time.
 AS_OF = "2001-08-02"
@@ -148,11 +149,14 @@ class Tables:
         """A table of the platform, written to the shared folder on first use.
 
         Repository queries read stored tables; deciding anew in each of them would
-        hide their filters behind the whole decision logic.
+        hide their filters behind the whole decision logic. All are bucketed by
+        application, on which they are joined.
         """
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in STORED:
-            STORED[key] = staged(build(), name)
+            folder = run_folder(self.spark, "tables")
+            table = f"{name}_{folder.rsplit('-', 1)[-1]}"
+            STORED[key] = save_bucketed(build(), table, folder, "application_id")
         return STORED[key]
 
     @property

@@ -21,6 +21,25 @@ def save_cleaned(df: DataFrame, path: str, as_of: str, job_name: str, quality_sc
     marked.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
+def save_bucketed(df: DataFrame, name: str, folder: str, key: str, buckets: int | None = None) -> DataFrame:
+    """A table whose rows are placed by key, so that joins and groupings on the key move nothing.
+
+    One shuffle here saves one per later join. The default number of buckets is
+    the session's number of shuffle partitions.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.repartition(buckets, key)
+        .write.bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", f"{folder}/{name}")
+        .format("parquet")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def save_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 

@@ -45,6 +45,11 @@ def test_quantiles_skip_nulls_and_empty_columns(spark):
     assert quantile_values(frame.where("false"), {"x": [0.5]}) == {"x": {0.5: None}}
 
 
+def test_nan_counts_as_missing(spark):
+    frame = frame_of(spark, [1.0, float("nan"), 3.0]).withColumn("person_age", F.col("x"))
+    assert quantile_values(frame, {"x": [0.5], "person_age": [0.5]}) == {"x": {0.5: 2.0}, "person_age": {0.5: 2.0}}
+
+
 def test_small_domains_take_the_plain_way(spark):
     frame = spark.createDataFrame([(v, float(v)) for v in range(1, 10)], "person_age int, person_income double")
     found = quantile_values(frame, {"person_age": [0.25, 0.5], "person_income": [0.25, 0.5]})

@@ -125,3 +125,16 @@ def test_quality_job_reports_failure(spark):
     from creditlens.operators.quality import quality_job
 
     assert quality_job(spark, "/nowhere/at/all.parquet", "2001-08-02")["status"] == "FAILED"
+
+
+def test_stored_tables_join_without_a_shuffle(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = ops.application_summary(tables.applications, tables.risk_scores, tables.decisions)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        latest = ops.latest_per_key(tables.risk_scores, "application_id", "prediction_timestamp", "risk_score_id")
+        grouped = latest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    assert "Exchange" not in grouped
