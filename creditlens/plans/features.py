@@ -11,7 +11,7 @@ from creditlens.operators.cleaning import clean_job
 from creditlens.plans.fixtures import AS_OF, Tables
 from creditlens.plans.registry import query
 from creditlens.plans.shape import rounded
-from creditlens.schemas import HOME_OWNERSHIP, LOAN_GRADES, LOAN_INTENTS, NUMERIC_FEATURES
+from creditlens.schemas import HOME_OWNERSHIP, LOAN_INTENTS, NUMERIC_FEATURES
 
 AGE_NAMED = """CASE WHEN person_age > 0 AND person_age <= 25 THEN '{0}' WHEN person_age > 25 AND person_age <= 35 THEN '{1}'
   WHEN person_age > 35 AND person_age <= 45 THEN '{2}' WHEN person_age > 45 AND person_age <= 100 THEN '{3}' END"""
@@ -71,8 +71,8 @@ STABLE_SCRIPT = "person_emp_length / greatest((person_age - 18)::DOUBLE, 1)"
 @query(
     "feat_employment",
     uses=("apps",),
-    sql=f"""SELECT application_id, round({STABLE}, 9) AS stability_job, {flag_sql(f'{STABLE} > 0.3::DOUBLE')} AS stable_job,
-  round({STABLE_SCRIPT}, 9) AS stability_script, {flag_sql(f'{STABLE_SCRIPT} > 0.3::DOUBLE')} AS stable_script FROM apps""",
+    sql=f"""SELECT application_id, round({STABLE}, 9) + 0.0::DOUBLE AS stability_job, {flag_sql(f'{STABLE} > 0.3::DOUBLE')} AS stable_job,
+  round({STABLE_SCRIPT}, 9) + 0.0::DOUBLE AS stability_script, {flag_sql(f'{STABLE_SCRIPT} > 0.3::DOUBLE')} AS stable_script FROM apps""",
 )
 def feat_employment(t: Tables):
     job, script = bands.employment_stability(), bands.employment_stability(floor_years=True)

@@ -1,7 +1,5 @@
 """Queries: evaluation, drift, degradation and alerts."""
 
-from pyspark.sql import functions as F
-
 from creditlens.operators import evaluation, monitoring as ops
 from creditlens.operators.quantiles import area_under_roc
 from creditlens.plans.fixtures import Tables

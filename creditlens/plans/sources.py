@@ -74,7 +74,7 @@ ARFF_COLUMNS = ["application_id", *FEATURES]
 @query(
     "src_arff",
     uses=("raw",),
-    sql=f"SELECT {', '.join(f'coalesce({c}::VARCHAR, $${chr(63)}$$) AS {c}' for c in ARFF_COLUMNS)} FROM raw",
+    sql="SELECT " + ", ".join(f"coalesce({c}::VARCHAR, '?') AS {c}" for c in ARFF_COLUMNS) + " FROM raw",
 )
 def src_arff(t: Tables):
     path = f"{run_folder(t.spark, 'arff')}/dataset"
