@@ -224,11 +224,12 @@ def compare_ensembles(oof: DataFrame, folds: int = FOLDS) -> DataFrame:
     return metrics_frame(oof.sparkSession, rows)
 
 
-def feature_names(df: DataFrame, column: str = "features") -> list[str]:
-    """Names of a vector's entries from the assembler's metadata."""
+def feature_names(df: DataFrame, column: str = "features", scaled: list[str] = fe.SCALED) -> list[str]:
+    """Names of a vector's entries; the scaler numbers its entries, so their columns are put back."""
     attributes = df.schema[column].metadata.get("ml_attr", {}).get("attrs", {})
     found = sorted((entry["idx"], entry["name"]) for group in attributes.values() for entry in group)
-    return [name for _, name in found]
+    numbered = {f"scaled_features_{i}": name for i, name in enumerate(scaled)}
+    return [numbered.get(name, name) for _, name in found]
 
 
 def importance(model, names: list[str], spark, top: int = 10) -> DataFrame:
