@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express, computed another way than in Spark."""
 
-from creditlens.llm import decontaminate, line_dedup, quality_rules
+from creditlens.llm import decontaminate, line_dedup, quality_rules, warc
 
 #: Words of documents with their places, as the rules read them.
 _RULE_WORDS = r"""words AS (
@@ -78,6 +78,21 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM marked GROUP BY doc_id"""
 
 
+def _warc() -> str:
+    parts = r"'^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)'"
+    key = f"""CASE WHEN NOT regexp_matches(uri, {parts}) THEN uri ELSE
+      array_to_string(list_reverse(string_split(regexp_replace(lower(regexp_extract(uri, {parts}, 1)), '^www[.]', ''), '.')), ',') || ')'
+      || CASE WHEN regexp_extract(uri, {parts}, 2) = '' THEN '/' ELSE regexp_extract(uri, {parts}, 2) END END"""
+    return f"""WITH given AS (SELECT page_id, regexp_replace(coalesce(url, ''), '[\\x00-\\x20\\x7f]', '', 'g') AS uri, coalesce(html, '') AS html FROM pages),
+sized AS (SELECT *, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest, {key} AS url_key FROM given),
+latest AS (SELECT html, max(page_id) AS page FROM sized WHERE payload_bytes >= {warc.LEAST_BYTES} GROUP BY html)
+SELECT s.page_id, payload_bytes, payload_digest, CASE WHEN l.page IS NULL OR l.page = s.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN l.page <> s.page_id THEN l.page END AS refers_to, url_key,
+  row_number() OVER (PARTITION BY url_key ORDER BY s.page_id) AS capture_no
+FROM sized s LEFT JOIN latest l ON s.html = l.html AND s.payload_bytes >= {warc.LEAST_BYTES}"""
+
+
+WARC_SQL = _warc()
 QUALITY_RULES_SQL = _rules()
 DECONTAMINATE_SQL = _decontaminate()
 LINE_DEDUP_SQL = _line_dedup()

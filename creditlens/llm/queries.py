@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import decontaminate, line_dedup, quality_rules
-from creditlens.llm.checks import DECONTAMINATE_SQL, LINE_DEDUP_SQL, QUALITY_RULES_SQL
+from creditlens.llm import decontaminate, line_dedup, pii, quality_rules, warc
+from creditlens.llm.checks import DECONTAMINATE_SQL, LINE_DEDUP_SQL, QUALITY_RULES_SQL, WARC_SQL
 from creditlens.llm.frames import read
 
 
@@ -24,6 +24,22 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_spans(read(spark, folder, "documents"), ["doc_id"])
+
+    def count(kind: str):
+        return F.size(F.filter("_spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("_spans", lambda x: x["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.BASE],
+        F.sha2(pii.as_text(base), 256).alias("base_sha256"),
+        pii.as_text(F.col("_spans")).alias("spans"),
+        F.array_join(F.transform("_spans", lambda x: F.format_number(x["score"], 2)), ",").alias("scores"),
+    )
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"), ["doc_id"])
     info = decontaminate.INFO
@@ -43,14 +59,22 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "_lines.n_lines", "_lines.n_dropped", "_lines.kept_sha256")
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    captures = warc.archive_pages(read(spark, folder, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_no")
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_pii": op4_pii,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op10_warc": op10_warc,
 }
 
 CHECKS = {
     "op3_quality_rules": QUALITY_RULES_SQL,
     "op5_benchmark_decontamination": DECONTAMINATE_SQL,
     "op7_line_dedup": LINE_DEDUP_SQL,
+    "op10_warc": WARC_SQL,
 }
