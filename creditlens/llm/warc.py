@@ -3,7 +3,7 @@
 Writing: payloads are digested with SHA-1; of equal payloads of at least ``LEAST_BYTES``
 the one with the largest page_id is a response, the others are revisits that name it.
 Records are WARC/1.1, laid end to end in archive files. Spark's text sink writes them:
-a record ends in two line ends, the second of which is the sink's separator.
+a record ends in two line ends, the second of which is the sink's separator. Archives are gzip files; places count unpacked bytes.
 
 Reading: each archive is parsed by its length fields, payloads are digested again, and
 the archive's captures leave as one run, sorted by (URL key, timestamp, page). The runs
@@ -18,6 +18,7 @@ of their payload are all responses. Archives are about ``ARCHIVE_BYTES`` long.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -107,7 +108,7 @@ def write_archives(pages: DataFrame, path: str) -> str:
     types = staged(digested(pages), "warc-types")
     size = types.agg(F.avg("bytes").alias("mean")).first()["mean"] or 0
     per_file = max(1, int(ARCHIVE_BYTES / (size + 600)))
-    writer = records(pages, types).write.option("lineSep", END).option("maxRecordsPerFile", per_file)
+    writer = records(pages, types).write.option("lineSep", END).option("maxRecordsPerFile", per_file).option("compression", "gzip")
     writer.text(path)
     return path
 
@@ -163,7 +164,7 @@ def capture_runs(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch[0].to_pylist(), batch[1]):
                 rows = []
-                for place, length, fields, block in parse(content.as_py()):
+                for place, length, fields, block in parse(gzip.decompress(content.as_py())):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     kind, stated = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
                     size = int(re.search(rb"Content-Length: ([0-9]+)", head)[1])
