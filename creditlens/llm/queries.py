@@ -8,9 +8,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import decontaminate, line_dedup, pii, quality_rules, warc
+from creditlens.llm import decontaminate, line_dedup, near_dedup, pieces, pii, quality_classifier, quality_rules, toxicity, warc
 from creditlens.llm.checks import DECONTAMINATE_SQL, LINE_DEDUP_SQL, QUALITY_RULES_SQL, WARC_SQL
-from creditlens.llm.frames import read
+from creditlens.llm.frames import crc_remainder, read
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    scored, _ = quality_classifier.classify(documents, labels, crc_remainder("doc_id", 5) != 0)
+    held_out, predicted = crc_remainder("doc_id", 5) == 0, (F.col("score") >= 0.3).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    classes, _ = near_dedup.near_duplicates(read(spark, folder, "documents"))
+    return classes.select("doc_id", F.col("class").alias("class_id"), "copies", "links")
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,21 +66,50 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode(read(spark, folder, "documents"), ["doc_id", "text"])
+    decoded = pieces.decode(encoded, ["doc_id", "text", "_pieces"])
+    return decoded.select(
+        "doc_id",
+        F.col("_pieces").alias("pieces"),
+        F.coalesce(F.size("_pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.col("_decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.dedup_lines(read(spark, folder, "documents"), ["doc_id"], digest_only=True)
     return kept.select("doc_id", "_lines.n_lines", "_lines.n_dropped", "_lines.kept_sha256")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    network = toxicity.fit(documents, labels, crc_remainder("doc_id", 3) != 1)
+    scored = toxicity.score(documents, network)
+    return scored.select(
+        "doc_id",
+        (crc_remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "threshold",
+        (F.col("score") >= F.col("threshold")).alias("flagged_in_language"),
+    )
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     captures = warc.archive_pages(read(spark, folder, "pages"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_no")
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
+    "op8_toxicity": op8_toxicity,
     "op10_warc": op10_warc,
 }
 
