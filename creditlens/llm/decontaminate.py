@@ -202,7 +202,8 @@ def scan(chunk: tx.Chunk, automaton: SuffixAutomaton, sieve, inside: np.ndarray)
             run = [lowered.data[words.start[i] : words.end[i]].tobytes() for i in range(a, b + 1)]
             hits, items, longest = automaton.walk(run)
             kept = found.setdefault(row, ([], set(), [0]))
-            kept[0].extend((a + x, a + y) for x, y in hits)
+            base = a - int(words.of[row])
+            kept[0].extend((base + x, base + y) for x, y in hits)
             kept[1].update(items)
             kept[2][0] = max(kept[2][0], longest)
     return counts, found, words

@@ -205,10 +205,11 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, error: float =
 def train(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED) -> Model:
     rng = np.random.default_rng(seed)
     both = np.concatenate([positive, unlabelled])
-    model = _new(both.shape[1], both.mean(axis=0), both.std(axis=0) + 1e-6, rng)
     if min(len(positive), len(unlabelled)) < 4:
+        model = _new(both.shape[1], np.zeros(both.shape[1]), np.ones(both.shape[1]), rng)
         model.taught = False
         return model
+    model = _new(both.shape[1], both.mean(axis=0), both.std(axis=0) + 1e-6, rng)
     p, u = model.normal(positive), model.normal(unlabelled)
     plain = fit_pu(p[::2], u[::2], 0.5, _new(p.shape[1], model.mean, model.spread, rng), EPOCHS // 4, rng, plain=True)
     model.prior = estimated_prior(plain.logits(p[1::2]), plain.logits(u[1::2]))

@@ -5,10 +5,11 @@ The contracts fix the columns; they are derived here from what the operators ret
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import decontaminate, line_dedup, near_dedup, pieces, pii, quality_classifier, quality_rules, toxicity, warc
+from creditlens.llm import decontaminate, line_dedup, masked_lm, near_dedup, pieces, pii, quality_classifier, quality_rules, toxicity, warc
 from creditlens.llm.checks import DECONTAMINATE_SQL, LINE_DEDUP_SQL, QUALITY_RULES_SQL, WARC_SQL
 from creditlens.llm.frames import crc_remainder, read
 
@@ -96,6 +97,11 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    return masked_lm.score(documents, masked_lm.train(documents))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     captures = warc.archive_pages(read(spark, folder, "pages"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_no")
@@ -110,7 +116,9 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 
 CHECKS = {

@@ -121,17 +121,25 @@ def find_words(chunk: Chunk, inside: np.ndarray) -> Words:
     return Words(start, end, np.searchsorted(start, chunk.offsets))
 
 
-def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans: differences of one running polynomial.
+class Spans:
+    """Hashes of any spans of some bytes: differences of one running polynomial.
 
     Equal spans have equal hashes; two different ones agree by chance about once in 2^64.
     """
-    n = len(data)
-    power, inverse = _powers(n + 1)
-    running = np.zeros(n + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * power[:n], out=running[1:])
-    value = (running[end] - running[start]) * inverse[start]
-    return mix(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        power, self.inverse = _powers(n + 1)
+        self.running = np.zeros(n + 1, np.uint64)
+        np.cumsum(BYTE_CODES[data] * power[:n], out=self.running[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        value = (self.running[end] - self.running[start]) * self.inverse[start]
+        return mix(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return Spans(data).hashes(start, end)
 
 
 def windows(hashes: np.ndarray, of: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
