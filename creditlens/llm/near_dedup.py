@@ -205,14 +205,8 @@ def _sets(docs: DataFrame, weighted: bool, with_sets: bool, bands: int, rows: in
     return source.mapInArrow(run, schema)
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, weighted: bool) -> DataFrame:
-    """Pairs (a, b) with their exact Jaccard similarity.
-
-    Only documents in a pair are read again; each set travels once per pair side.
-    """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(wanted, "doc_id", "left_semi")
-    sets = staged(_sets(known, weighted, True, 1, 1).dropDuplicates(["doc_id"]).select("doc_id", "content"), "shingle-sets")
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their exact Jaccard similarity; each set travels once per pair side."""
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("content").alias("x")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("content").alias("y")), "b"
     )
@@ -273,15 +267,13 @@ def _pairs(frame: DataFrame, x: str, y: str) -> DataFrame:
     return frame.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a <> b").distinct()
 
 
-def _blocks(members: DataFrame, docs: DataFrame, weighted: bool, least: float) -> DataFrame:
+def _blocks(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links between documents of one group and different classes, compared block by block.
 
     ``members`` has (group, doc_id, class, outside). Each block of outside documents meets
     each block of the group's documents; a block is about ``BLOCK`` documents, so a group
     of any size is spread over tasks of bounded size, and only links leave a task.
     """
-    known = docs.where("doc_id IS NOT NULL").join(members.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = _sets(known, weighted, True, 1, 1).dropDuplicates(["doc_id"]).select("doc_id", "content")
     held = staged(members.join(sets, "doc_id"), "block-members")
     counts = held.groupBy("group").agg(
         F.greatest(F.ceil(F.count_if("outside") / BLOCK), F.lit(1)).cast("int").alias("n_out"),
@@ -331,15 +323,16 @@ def _blocks(members: DataFrame, docs: DataFrame, weighted: bool, least: float) -
     return staged(links.distinct(), "block-links")
 
 
-def near_links(buckets: DataFrame, docs: DataFrame, weighted: bool, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def near_links(buckets: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (a, b, similarity) among documents of (key, doc_id) buckets, and their components.
 
+    ``sets`` has (doc_id, content), the shingle sets of all documents in buckets.
     The links connect what all pairs of the buckets would connect.
     """
     # Every member with its bucket's first leader, the least by a hash.
     lead = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc_id"), "doc_id")).alias("head"), F.count("*").alias("members"))
     first = staged(buckets.join(lead.select("key", F.col("head.doc_id").alias("leader"), "members"), "key"), "bucket-leaders")
-    compared = _similar(staged(_pairs(first, "doc_id", "leader"), "pairs"), docs, weighted)
+    compared = _similar(staged(_pairs(first, "doc_id", "leader"), "pairs"), sets)
     classes = staged(components(compared.where(F.col("similarity") >= least)), "classes")
 
     # Then with the member that is most like that leader, where the bucket is not one class yet.
@@ -353,14 +346,14 @@ def near_links(buckets: DataFrame, docs: DataFrame, weighted: bool, least: float
     best = best.where("low <> high").select("key", F.col("head.doc_id").alias("second"))
     second = staged(rest.join(best, "key"), "bucket-seconds")
     pairs = _pairs(second, "doc_id", "second").join(compared.select("a", "b"), ["a", "b"], "left_anti")
-    compared = compared.unionByName(_similar(staged(pairs, "pairs"), docs, weighted))
+    compared = compared.unionByName(_similar(staged(pairs, "pairs"), sets))
     classes = staged(components(compared.where(F.col("similarity") >= least)), "classes")
 
     # What is still apart within a bucket, in blocks; groups are led by the second leader's class.
     apart = _with_class(_with_class(second.drop("class"), classes, "doc_id", "class"), classes, "second", "group")
     split = apart.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
     members = apart.join(split, "key", "left_semi").select("group", "doc_id", "class").distinct()
-    blocks = _blocks(members.withColumn("outside", F.col("class") != F.col("group")), docs, weighted, least)
+    blocks = _blocks(members.withColumn("outside", F.col("class") != F.col("group")), sets, least)
     links = staged(compared.where(F.col("similarity") >= least).unionByName(blocks).distinct(), "links")
     return links, staged(components(links), "classes")
 
@@ -377,10 +370,14 @@ def near_duplicates(
     same = digested.groupBy("digest").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
     # Signatures of one document per distinct set; a bucket needs two of them.
     heads = digested.join(same.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
-    banded = staged(heads.select("doc_id", F.explode("content").alias("key")), "bands")
+    # Counting the keys and keeping the shared ones read one and the same exchange.
+    banded = heads.select("doc_id", F.explode("content").alias("key")).repartition("key")
     shared_keys = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = staged(banded.join(shared_keys, "key", "left_semi"), "buckets")
-    links, classes = near_links(buckets, docs, weighted, least)
+    # Only documents in a bucket are read again, once, for their sets.
+    known = docs.where("doc_id IS NOT NULL").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = staged(_sets(known, weighted, True, 1, 1).dropDuplicates(["doc_id"]).select("doc_id", "content"), "shingle-sets")
+    links, classes = near_links(buckets, sets, least)
     degree = links.select(F.col("a").alias("head")).unionAll(links.select("b")).groupBy("head").agg(F.count("*").alias("links"))
     known = classes.select(F.col("doc_id").alias("head"), "class")
     described = same.join(known, "head", "left").join(degree, "head", "left")
