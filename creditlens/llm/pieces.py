@@ -40,6 +40,9 @@ RATE = 0.1
 SEED = 17
 VARIANTS = 8
 LONG = 48
+#: Bytes of text encoded, and ids decoded, at a time.
+ENCODED = 1 << 20
+DECODED = 1 << 18
 MARK = "▁"
 NONE = np.int64(1) << np.int64(62)
 
@@ -321,7 +324,7 @@ def encode(docs: DataFrame, keep: list[str], path: str = MODEL, rate: float = RA
         for batch in batches:
             keys = batch.column(width + 1).to_numpy(zero_copy_only=False).view(np.uint64)
             column = batch.column(width)
-            for chunk in tx.chunks(column):
+            for chunk in tx.chunks(column, ENCODED):
                 ids, of = encode_chunk(chunk, keys[chunk.first : chunk.last], pieces, rate, seed, variants)
                 missing = column.slice(chunk.first, chunk.last - chunk.first).is_null()
                 lists = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()), mask=missing)
@@ -341,14 +344,21 @@ def decode(encoded: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
     def run(batches):
         pieces = shared.value
         for batch in batches:
-            lists = batch.column(width)
-            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            of = np.concatenate([[0], np.cumsum(sizes)])
-            body, bounds = decode_ids(lists.flatten().to_numpy(zero_copy_only=False), of, pieces)
-            text = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(body)])
-            text = pa.array(text).cast(pa.string())
-            if lists.null_count:
-                text = pa.compute.if_else(lists.is_null(), pa.scalar(None, pa.string()), text)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], text], names=[*keep, "_decoded"])
+            sizes = batch.column(width).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            reach, first = np.cumsum(sizes), 0
+            while first < len(sizes):
+                # Whole rows of about DECODED ids at a time.
+                done = reach[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(reach, done + DECODED, "right")))
+                part = batch.slice(first, last - first)
+                lists = part.column(width)
+                of = np.concatenate([[0], reach[first:last] - done])
+                body, bounds = decode_ids(lists.flatten().to_numpy(zero_copy_only=False), of, pieces)
+                text = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(body)])
+                text = text.cast(pa.string())
+                if lists.null_count:
+                    text = pa.compute.if_else(lists.is_null(), pa.scalar(None, pa.string()), text)
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], text], names=[*keep, "_decoded"])
+                first = last
 
     return source.mapInArrow(run, schema)
