@@ -44,10 +44,10 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = [c for c in docs.columns if c != "text"]
-    decoded = pieces.decode(pieces.encode(docs, rest), [*rest, "_pieces"])
+    coded = pieces.encode(docs, rest, decoded=True)
     columns = [F.col("_decoded").alias("text") if c == "text" else F.col(c) for c in docs.columns]
     count = F.coalesce(F.size("_pieces"), F.lit(0)).cast("long")
-    return decoded.select(*columns, F.col("_pieces").alias("pieces"), count.alias("n_pieces"))
+    return coded.select(*columns, F.col("_pieces").alias("pieces"), count.alias("n_pieces"))
 
 
 STAGES = [

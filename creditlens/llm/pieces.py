@@ -312,11 +312,32 @@ def decode_ids(ids: np.ndarray, of: np.ndarray, pieces: Pieces) -> tuple[np.ndar
     return body, bounds - np.concatenate([[0], np.cumsum(filled)])
 
 
-def encode(docs: DataFrame, keep: list[str], path: str = MODEL, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
-    """The columns ``keep`` and ``_pieces``, the piece ids of ``text``."""
+def _text(ids: np.ndarray, of: np.ndarray, missing: pa.Array, pieces: Pieces) -> pa.Array:
+    """Decoded texts of lists of ids; missing ones are null."""
+    body, bounds = decode_ids(ids, of, pieces)
+    buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(body)]
+    text = pa.Array.from_buffers(pa.large_string(), len(of) - 1, buffers).cast(pa.string())
+    return pa.compute.if_else(missing, pa.scalar(None, pa.string()), text)
+
+
+def encode(
+    docs: DataFrame,
+    keep: list[str],
+    path: str = MODEL,
+    rate: float = RATE,
+    seed: int = SEED,
+    variants: int = VARIANTS,
+    decoded: bool = False,
+) -> DataFrame:
+    """The columns ``keep`` and ``_pieces``, the piece ids of ``text``.
+
+    With ``decoded`` also ``_decoded``, the text that these ids give back, made in the same
+    pass so that ids need not travel to be decoded.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(path))
     source = docs.select(*keep, F.col("text").alias("_piece_text"), F.xxhash64(F.col("doc_id")).alias("_piece_key"))
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("_pieces", T.ArrayType(T.IntegerType()))])
+    fields = [*docs.select(*keep).schema.fields, T.StructField("_pieces", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([*fields, *([T.StructField("_decoded", T.StringType())] if decoded else [])])
     width = len(keep)
 
     def run(batches):
@@ -326,10 +347,12 @@ def encode(docs: DataFrame, keep: list[str], path: str = MODEL, rate: float = RA
             column = batch.column(width)
             for chunk in tx.chunks(column, ENCODED):
                 ids, of = encode_chunk(chunk, keys[chunk.first : chunk.last], pieces, rate, seed, variants)
-                missing = column.slice(chunk.first, chunk.last - chunk.first).is_null()
-                lists = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()), mask=missing)
-                part = [c.slice(chunk.first, chunk.last - chunk.first) for c in batch.columns[:width]]
-                yield pa.RecordBatch.from_arrays([*part, lists], names=[*keep, "_pieces"])
+                part = batch.slice(chunk.first, chunk.last - chunk.first)
+                missing = part.column(width).is_null()
+                made = [pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()), mask=missing)]
+                if decoded:
+                    made.append(_text(ids, of, missing, pieces))
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], *made], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -353,12 +376,8 @@ def decode(encoded: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
                 part = batch.slice(first, last - first)
                 lists = part.column(width)
                 of = np.concatenate([[0], reach[first:last] - done])
-                body, bounds = decode_ids(lists.flatten().to_numpy(zero_copy_only=False), of, pieces)
-                text = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(body)])
-                text = text.cast(pa.string())
-                if lists.null_count:
-                    text = pa.compute.if_else(lists.is_null(), pa.scalar(None, pa.string()), text)
-                yield pa.RecordBatch.from_arrays([*part.columns[:width], text], names=[*keep, "_decoded"])
+                text = _text(lists.flatten().to_numpy(zero_copy_only=False), of, lists.is_null(), pieces)
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], text], names=schema.names)
                 first = last
 
     return source.mapInArrow(run, schema)

@@ -68,9 +68,8 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = pieces.encode(read(spark, folder, "documents"), ["doc_id", "text"])
-    decoded = pieces.decode(encoded, ["doc_id", "text", "_pieces"])
-    return decoded.select(
+    coded = pieces.encode(read(spark, folder, "documents"), ["doc_id", "text"], decoded=True)
+    return coded.select(
         "doc_id",
         F.col("_pieces").alias("pieces"),
         F.coalesce(F.size("_pieces"), F.lit(0)).cast("long").alias("n_pieces"),

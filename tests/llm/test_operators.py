@@ -346,6 +346,7 @@ def test_dropout_is_keyed_and_lossless(spark, odd, none, monkeypatch):
     for frame in (docs, odd, none):
         decoded = pieces.decode(pieces.encode(frame, ["text"], rate=0.3), ["text"])
         assert decoded.where("NOT _decoded <=> text").isEmpty() and decoded.count() == frame.count()
+        assert pieces.encode(frame, ["text"], decoded=True).where("NOT _decoded <=> text").isEmpty()
     # The agenda and the side-by-side merging skip and merge alike.
     table = pieces.Pieces.load()
     (chunk,) = tx.chunks(pa.array(list(dict(docs.limit(20).collect()).values())), 1 << 30)
