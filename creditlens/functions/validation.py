@@ -44,6 +44,9 @@ SCORING_DOMAINS = [
 ]
 
 
+EMPTY = "''"
+
+
 def text(value: str) -> str:
     """A string literal of an SQL expression."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -55,7 +58,8 @@ def number(name: str) -> str:
 
 def messages(checks: list[str]) -> Column:
     """The messages that apply, in order; each check is an expression of a message or null."""
-    return F.expr(f"array_compact(array({', '.join(checks)}))")
+    # Null checks become empty texts: unlike array_compact, array_remove is compiled.
+    return F.expr(f"array_remove(array({', '.join(f'coalesce({check}, {EMPTY})' for check in checks)}), {EMPTY})")
 
 
 def _required(fields: list[str]) -> list[str]:

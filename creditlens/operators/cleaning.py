@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditlens.functions import bands
-from creditlens.operators.quantiles import quantile_values
+from creditlens.operators.quantiles import group_medians, quantile_values
 from creditlens.schemas import COERCIONS, NUMERIC_FEATURES
-from creditlens.session import lookup_side, staged
+from creditlens.session import staged
 
 # Limits of the cleaning rules.
 MAX_AGE = 100
@@ -71,29 +71,19 @@ def cap_amounts(df: DataFrame, method: str = "exact") -> DataFrame:
 
 
 def fill_with_group_median(df: DataFrame, column: str, groups: list[Column]) -> DataFrame:
-    """Fill nulls with the median of the row's group.
-
-    Rates and years have few distinct values, which bounds the state of
-    ``median``; copies collapse before the shuffle. The medians are one row per
-    group, and broadcast once their number is checked.
-    """
+    """Fill nulls with the median of the row's group; the medians are one row per group."""
     keys = [f"__group_{i}" for i in range(len(groups))]
-    found = [f"__of_{i}" for i in range(len(groups))]
-    medians = (
-        df.groupBy(*[group.alias(name) for group, name in zip(groups, found)])
-        .agg(F.median(column).alias("__median"))
-        .where(F.col("__median").isNotNull())
-    )
+    medians = group_medians(df, {f"__of_{i}": group for i, group in enumerate(groups)}, column)
     # Plain equality: a row whose group is null has no median to take.
-    condition = [F.col(key) == F.col(name) for key, name in zip(keys, found)]
-    joined = df.withColumns(dict(zip(keys, groups))).join(lookup_side(medians), condition, "left")
-    return joined.withColumn(column, F.coalesce(F.col(column), F.col("__median"))).select(*df.columns)
+    condition = [F.col(f"__group_{i}") == F.col(f"__of_{i}") for i in range(len(groups))]
+    joined = df.withColumns(dict(zip(keys, groups))).join(medians, condition, "left")
+    return joined.withColumn(column, F.coalesce(F.col(column), F.col("median"))).select(*df.columns)
 
 
 def fill_with_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Fill nulls of columns with few distinct values by the median of the whole column."""
-    medians = df.agg(*[F.median(name).alias(name) for name in columns]).first()
-    return df.withColumns({name: F.coalesce(F.col(name), F.lit(medians[name])) for name in columns})
+    """Fill nulls of columns by the median of the whole column."""
+    medians = quantile_values(df, {name: [0.5] for name in columns})
+    return df.withColumns({name: F.coalesce(F.col(name), F.lit(medians[name][0.5])) for name in columns})
 
 
 def impute_rate_by_grade(df: DataFrame) -> DataFrame:
@@ -139,8 +129,15 @@ def clean_job(df: DataFrame, method: str = "exact") -> DataFrame:
 def clean_script(df: DataFrame) -> DataFrame:
     """The cleaning script: employment is imputed first and capped afterwards."""
     distinct = staged(drop_duplicates(df), "deduplicated")
-    aged = distinct.withColumn("person_age", cap("person_age", MAX_AGE))
-    rated = impute_rate_stratified(cap_amounts(floor_amounts(aged)))
+    floored = floor_amounts(distinct.withColumn("person_age", cap("person_age", MAX_AGE)))
+    # Caps and quartiles in one pass: a cap from above moves a quartile only if that is above the cap.
+    found = quantile_values(floored, {"person_income": [0.25, 0.5, 0.75, CAP_QUANTILE], "loan_amnt": [CAP_QUANTILE]})
+    limits = {name: values[CAP_QUANTILE] for name, values in found.items()}
+    capped = floored.withColumns({name: cap(name, limit) for name, limit in limits.items()})
+    cuts = [found["person_income"][p] for p in (0.25, 0.5, 0.75)]
+    cuts = [cut if cut is None else min(cut, limits["person_income"]) for cut in cuts]
+    quartile = bands.quartile_label(F.col("person_income"), *cuts, bands.QUARTILE_CODES)
+    rated = fill_with_median(fill_with_group_median(capped, "loan_int_rate", [F.col("loan_grade"), quartile]), ["loan_int_rate"])
     employed = fill_with_group_median(
         rated, "person_emp_length", [bands.age_group_closed(F.col("person_age"), bands.AGE_RANGES)]
     )

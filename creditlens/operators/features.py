@@ -11,10 +11,9 @@ from pyspark.sql.window import Window
 from creditlens.functions import bands
 from creditlens.functions.bands import flag
 from creditlens.functions.scoring import lookup
-from creditlens.operators.profiling import top_values
-from creditlens.operators.quantiles import quantile_values
+from creditlens.operators.profiling import value_counts
+from creditlens.operators.quantiles import number, quantile_values
 from creditlens.schemas import HOME_OWNERSHIP, LOAN_INTENTS, NUMERIC_FEATURES
-from creditlens.session import lookup_side
 
 SCALED = [*NUMERIC_FEATURES, "employment_stability", "income_to_loan_ratio"]
 ENCODED = [
@@ -26,16 +25,18 @@ ENCODED = [
     "loan_amount_category",
     "interest_rate_category",
 ]
-#: More levels than this are no category any more.
-MAX_LEVELS = 50
 #: Slices of the hash range in a stratified split, and seeds of the splits.
 SPLIT_BITS = 20
 TRAIN_SHARE = 0.8
 
 
-def derive_job(df: DataFrame) -> DataFrame:
-    """Features of the feature job. The income cuts are the frame's own quartiles."""
-    cuts = quantile_values(df, {"person_income": [0.25, 0.5, 0.75]})["person_income"]
+def income_cuts(df: DataFrame) -> dict[float, float | None]:
+    return quantile_values(df, {"person_income": [0.25, 0.5, 0.75]})["person_income"]
+
+
+def derive_job(df: DataFrame, cuts: dict[float, float | None] | None = None) -> DataFrame:
+    """Features of the feature job. Without given income cuts the frame's own quartiles are taken."""
+    cuts = cuts or income_cuts(df)
     income = F.col("person_income")
     return df.withColumns(
         {
@@ -144,18 +145,17 @@ def scoring_features(df: DataFrame, key: str = "application_id") -> DataFrame:
     return df.select(key, *[value.alias(name) for name, value in columns.items()])
 
 
-def levels_of(df: DataFrame, columns: list[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct values per column; a column with more than ``limit`` is refused."""
+def levels_of(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column.
+
+    Dummy columns are one per level, so the level names have to reach the driver to
+    name them; a caller that knows them passes its own lists to ``dummies``.
+    """
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
     distinct = df.select(F.inline(pairs)).where(F.col("v").isNotNull()).distinct()
-    order = Window.partitionBy("c").orderBy("v")
-    rows = distinct.withColumn("r", F.row_number().over(order)).where(F.col("r") <= limit + 1).collect()
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
+    for row in distinct.collect():
         found[row["c"]].append(row["v"])
-    for name, values in found.items():
-        if len(values) > limit:
-            raise ValueError(f"{name} has more than {limit} levels, too many for dummy columns")
     return {name: sorted(values) for name, values in found.items()}
 
 
@@ -194,27 +194,27 @@ def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def complete_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Medians for nulls, since an assembled vector takes none."""
-    medians = quantile_values(df, {c: [0.5] for c in columns})
-    return df.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0.5] or 0.0)) for c in columns}
-    )
+def medians_of(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    """Median per column, 0 for a column without values."""
+    return {c: found[0.5] or 0.0 for c, found in quantile_values(df, {c: [0.5] for c in columns}).items()}
+
+
+def complete_numbers(df: DataFrame, columns: list[str], medians: dict[str, float] | None = None) -> DataFrame:
+    """Medians for nulls and NaN, since an assembled vector takes none; the frame's own unless given."""
+    medians = medians or medians_of(df, columns)
+    return df.withColumns({c: F.coalesce(number(c), F.lit(medians[c])) for c in columns})
 
 
 def indexers(df: DataFrame, categories: list[str]) -> list[StringIndexerModel]:
     """Levels of all categories, most frequent first, from one counting pass.
 
-    Only the top levels per column reach the driver; a column with more than
-    ``MAX_LEVELS`` is refused, since its vectors would be as wide as its values.
+    Every level is kept: an index model holds them all, and sparse vectors have no
+    trouble with width.
     """
-    rows = top_values(df, categories, MAX_LEVELS + 1).select("column_name", "value", "rank").collect()
+    rows = value_counts(df, categories).where(F.col("value").isNotNull()).collect()
     levels: dict[str, list[str]] = {name: [] for name in categories}
-    for row in sorted(rows, key=lambda r: (r["column_name"], r["rank"])):
+    for row in sorted(rows, key=lambda r: (r["column_name"], -r["rows"], r["value"])):
         levels[row["column_name"]].append(row["value"])
-    wide = [name for name, values in levels.items() if len(values) > MAX_LEVELS]
-    if wide:
-        raise ValueError(f"{wide} have more than {MAX_LEVELS} levels, too many to encode")
     return [
         StringIndexerModel.from_labels(
             levels[name], inputCol=name, outputCol=f"{name}_indexed", handleInvalid="keep"
@@ -256,7 +256,7 @@ def split_by_hash(df: DataFrame, key: str, share: float = TRAIN_SHARE) -> DataFr
 
 
 def split_stratified(df: DataFrame, key: str, label: str, shares: dict[str, float]) -> DataFrame:
-    """Split every class in the given proportions, exact to the row.
+    """Split every class in the given proportions, exact to the row; null is a class too.
 
     Rows of a class are ordered by (hash, key) and cut at whole ranks. To find the
     cuts without ordering a class, hashes are counted in 2**20 slices; only the
@@ -286,11 +286,11 @@ def split_stratified(df: DataFrame, key: str, label: str, shares: dict[str, floa
         .where((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
         .select("__label", "__slice", "cut", (F.col("rank") - F.col("upto") + F.col("n")).alias("inside"))
     )
-    cut_slices = lookup_side(cut_slices)
     order = Window.partitionBy("__label", "cut").orderBy("__hash", key)
-    near = hashed.select(key, F.col(label).alias("__label"), "__hash", slice_of.alias("__slice"))
+    near = hashed.select(key, F.col(label).alias("__row_label"), "__hash", slice_of.alias("__row_slice"))
+    here = F.col("__row_label").eqNullSafe(F.col("__label")) & (F.col("__row_slice") == F.col("__slice"))
     cuts = (
-        near.join(cut_slices, ["__label", "__slice"])
+        near.join(cut_slices, here)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") == F.col("inside"))
         .groupBy("__label")
@@ -301,7 +301,7 @@ def split_stratified(df: DataFrame, key: str, label: str, shares: dict[str, floa
             ]
         )
     )
-    joined = hashed.join(lookup_side(cuts).withColumnRenamed("__label", "__of"), F.col(label) == F.col("__of"), "left")
+    joined = hashed.join(cuts.withColumnRenamed("__label", "__of"), F.col(label).eqNullSafe(F.col("__of")), "left")
     here = F.struct(F.col("__hash"), F.col(key).alias("__key"))
     chosen = F.lit(names[-1])
     for i in reversed(range(len(edges))):
@@ -309,12 +309,15 @@ def split_stratified(df: DataFrame, key: str, label: str, shares: dict[str, floa
     return joined.select(*df.columns, chosen.alias("split"))
 
 
-def with_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced class weights: rows / (classes * rows of the class)."""
-    counts = {row[label]: row["n"] for row in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
-    weights = {value: total / (len(counts) * n) for value, n in counts.items()}
-    expression = F.lit(1.0)
-    for value, weight in weights.items():
-        expression = F.when(F.col(label) == value, F.lit(weight)).otherwise(expression)
-    return df.withColumn("weight", expression)
+def with_weights(df: DataFrame, label: str, counted: DataFrame | None = None) -> DataFrame:
+    """Balanced class weights: rows / (classes * rows of the class), 1 for classes not counted.
+
+    The classes are counted in ``counted``, the training rows, where that is given.
+    """
+    counts = (df if counted is None else counted).groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__n"))
+    # One row per class meets here.
+    every = Window.partitionBy(F.lit(0))
+    weight = F.sum("__n").over(every) / (F.count(F.lit(1)).over(every) * F.col("__n"))
+    weights = counts.select("__class", weight.alias("__weight"))
+    joined = df.join(weights, F.col(label).eqNullSafe(F.col("__class")), "left")
+    return joined.select(*df.columns, F.coalesce("__weight", F.lit(1.0)).alias("weight"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
 from functools import reduce
-from itertools import product
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -69,11 +70,11 @@ def boosted(rounds: int = 100, depth: int = 6, step: float = 0.1) -> GBTClassifi
 
 
 def perceptron(inputs: int, rounds: int = 100) -> MultilayerPerceptronClassifier:
-    """Two hidden layers of 128; Spark's network has no dropout."""
+    """Three hidden layers of 128; Spark's network has no dropout."""
     return MultilayerPerceptronClassifier(
         labelCol="label",
         featuresCol="features",
-        layers=[inputs, 128, 128, 2],
+        layers=[inputs, 128, 128, 128, 2],
         maxIter=rounds,
         blockSize=64,
         seed=SEED,
@@ -87,23 +88,45 @@ def grid(estimator, space: dict[str, list]):
     return builder.build()
 
 
-def grid_size(space: dict[str, list]) -> int:
-    return len(list(product(*space.values())))
+@dataclass(frozen=True)
+class Statistics:
+    """What deriving and filling need to know of the training rows; kept with the model."""
 
+    income_cuts: dict[float, float | None]
+    medians: dict[str, float]
 
-def prepare(df: DataFrame, key: str = "application_id") -> tuple[DataFrame, PipelineModel]:
+    @classmethod
+    def of(cls, train: DataFrame) -> Statistics:
+        cuts = fe.income_cuts(train)
+        return cls(cuts, fe.medians_of(fe.derive_job(train, cuts), fe.SCALED))
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        return fe.complete_numbers(fe.derive_job(df, self.income_cuts), fe.SCALED, self.medians)
+
+    def to_json(self) -> str:
+        return json.dumps({"income_cuts": list(self.income_cuts.items()), "medians": self.medians})
+
+    @classmethod
+    def from_json(cls, text: str) -> Statistics:
+        held = json.loads(text)
+        return cls({p: value for p, value in held["income_cuts"]}, held["medians"])
+
+
+def prepare(df: DataFrame, key: str = "application_id") -> tuple[DataFrame, PipelineModel, Statistics]:
     """Feature vectors with label, weight, fold and split, written once for all fits.
 
+    Quartiles, medians, class weights and the encoders come from the training rows only.
     Nulls are filled after deriving and before assembling, as a vector takes none.
     Folds and splits come from the key, so a recomputed task cannot reshuffle them.
     """
-    labelled = df.where(F.col("loan_status").isNotNull())
-    complete = fe.complete_numbers(fe.derive_job(labelled), fe.SCALED)
-    weighted = fe.with_weights(complete.withColumn("label", F.col("loan_status").cast("double")), "label")
-    marked = fe.split_by_hash(weighted, key)
-    vectors = fe.fit_features(marked.where(F.col("split") == "train"))
+    labelled = df.where(F.col("loan_status").isNotNull()).withColumn("label", F.col("loan_status").cast("double"))
+    marked = fe.split_by_hash(labelled, key)
+    train = marked.where(F.col("split") == "train")
+    statistics = Statistics.of(train)
+    weighted = fe.with_weights(statistics.apply(marked), "label", train)
+    vectors = fe.fit_features(staged(weighted.where(F.col("split") == "train"), "derived"))
     hashed = fe.hash_value(key)
-    ready = vectors.transform(marked).select(
+    ready = vectors.transform(weighted).select(
         key,
         "features",
         "label",
@@ -112,7 +135,7 @@ def prepare(df: DataFrame, key: str = "application_id") -> tuple[DataFrame, Pipe
         (F.floor(hashed / 1000) % FOLDS).cast("int").alias("fold"),
         (F.floor(hashed / 7000) % 10 == 0).alias("validation"),
     )
-    return staged(ready, "features"), vectors
+    return staged(ready, "features"), vectors, statistics
 
 
 def part(ready: DataFrame, split: str) -> DataFrame:
@@ -134,8 +157,10 @@ def auc(df: DataFrame, score: str) -> float:
     return row["auc"] if row and row["auc"] is not None else float("nan")
 
 
-def cross_validate(estimator, space: dict[str, list], train: DataFrame, parallelism: int = 4):
-    """Grid search over key-based folds by ROC AUC."""
+def cross_validate(estimator, train: DataFrame, space: dict[str, list] | None = None, parallelism: int = 4):
+    """Grid search over key-based folds by ROC AUC; over the learner's whole space unless one is given."""
+    if space is None:
+        space = FOREST_SPACE if isinstance(estimator, RandomForestClassifier) else BOOST_SPACE
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
     return CrossValidator(
         estimator=estimator,
@@ -247,30 +272,36 @@ def importance(model, names: list[str], spark, top: int = 10) -> DataFrame:
     )
 
 
-def save_model(model: PipelineModel, path: str, metadata: dict, spark) -> None:
-    """Model and its metadata as files of the shared folder."""
+def save_model(model: PipelineModel, path: str, metadata: dict, statistics: Statistics, spark) -> None:
+    """Model, its metadata and the training statistics as files of the shared folder."""
     model.write().overwrite().save(f"{path}/model")
-    rows = [(str(name), str(value)) for name, value in metadata.items()]
+    held = {**metadata, "statistics": statistics.to_json()}
+    rows = [(str(name), str(value)) for name, value in held.items()]
     spark.createDataFrame(rows, "name string, value string").write.mode("overwrite").json(f"{path}/metadata")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(f"{path}/model")
+def load_model(path: str, spark) -> tuple[PipelineModel, Statistics]:
+    held = spark.read.schema("name string, value string").json(f"{path}/metadata").where("name = 'statistics'").first()
+    return PipelineModel.load(f"{path}/model"), Statistics.from_json(held["value"])
+
 
+def batch_features(df: DataFrame, statistics: Statistics) -> DataFrame:
+    """Input of a prediction run: required columns checked, numbers coerced and filled.
 
-def batch_features(df: DataFrame) -> DataFrame:
-    """Input of a prediction run: required columns checked, numbers coerced and filled."""
-    from creditlens.operators.cleaning import coerce_numeric, impute_all_median
+    Quartiles and medians are those of training, so a row scores alike in every batch.
+    """
+    from creditlens.operators.cleaning import coerce_numeric
 
-    checked = impute_all_median(coerce_numeric(require_columns(df, REQUIRED_FIELDS)))
-    return fe.complete_numbers(fe.derive_job(checked), fe.SCALED)
+    return statistics.apply(coerce_numeric(require_columns(df, REQUIRED_FIELDS)))
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Input columns with probability of default and class."""
-    scored = model.transform(batch_features(df))
+def predict(model: PipelineModel, df: DataFrame, statistics: Statistics) -> DataFrame:
+    """Input columns with probability of default and class; one pass, so it runs on streams too."""
+    key = [c for c in df.columns]
+    carried = df.withColumns({f"__{c}": F.col(c) for c in key})
+    scored = model.transform(batch_features(carried, statistics))
     return scored.select(
-        *df.columns,
+        *[F.col(f"__{c}").alias(c) for c in key],
         vector_to_array("probability")[1].alias("prob_default"),
         F.col("prediction").cast("int").alias("prediction_class"),
     )

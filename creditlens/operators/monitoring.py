@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from creditlens.functions.special import chi_square_p_value, ks_p_value
 from creditlens.operators.evaluation import performance
 from creditlens.operators.profiling import describe, text_pairs
-from creditlens.operators.quantiles import largest_gap, value_counts
+from creditlens.operators.quantiles import largest_gap, number, value_counts
 from creditlens.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 # Thresholds and the performance a model is held to.
@@ -66,24 +66,24 @@ def drift_psi(
 ) -> DataFrame:
     """Population stability index over equal-width bins of the joint range.
 
-    The last bin is closed; bins empty on either side do not count.
+    The last bin is closed; bins empty on either side do not count, nor do nulls and NaN.
     """
     both = _sides(baseline, current, columns)
     ends = both.agg(
-        *[F.min(F.col(c).cast("double")).alias(f"{c}#min") for c in columns],
-        *[F.max(F.col(c).cast("double")).alias(f"{c}#max") for c in columns],
+        *[F.min(number(c)).alias(f"{c}#min") for c in columns],
+        *[F.max(number(c)).alias(f"{c}#max") for c in columns],
     ).first()
 
     def bin_of(c: str) -> Column:
         low, high = ends[f"{c}#min"], ends[f"{c}#max"]
         if low is None or low == high:
-            return F.when(F.col(c).isNotNull(), F.lit(0))
+            return F.when(number(c).isNotNull(), F.lit(0))
         width = (high - low) / bins
         # least passes over nulls, so they are kept out here.
-        return F.when(F.col(c).isNotNull(), _capped_bin(c, low, width))
+        return F.when(number(c).isNotNull(), _capped_bin(c, low, width))
 
     def _capped_bin(c: str, low: float, width: float) -> Column:
-        return F.least(F.floor((F.col(c).cast("double") - F.lit(low)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+        return F.least(F.floor((number(c) - F.lit(low)) / F.lit(width)).cast("int"), F.lit(bins - 1))
 
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), bin_of(c).alias("bin")) for c in columns])
     counts = (

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-from creditlens.operators.quantiles import quantile_values
+from creditlens.operators.quantiles import number, quantile_values
 from creditlens.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 # Texts that stand in for a missing value, and warning limits.
@@ -20,6 +19,9 @@ CATEGORY_IMBALANCE = 10
 TARGET_IMBALANCE = 3
 HIGH_CORRELATION = 0.7
 
+#: Correlations in one aggregate.
+PAIRS_AT_ONCE = 7
+
 RECORDS = "*"
 
 
@@ -98,11 +100,11 @@ def describe(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
     wide = df.agg(
         *[
             F.struct(
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
+                F.count(number(c)).alias("count"),
+                F.avg(number(c)).alias("mean"),
+                F.stddev_samp(number(c)).alias("std"),
+                F.min(number(c)).alias("min"),
+                F.max(number(c)).alias("max"),
             ).alias(c)
             for c in columns
         ]
@@ -119,7 +121,7 @@ def describe(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
 
 
 def skewness(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
-    wide = df.agg(*[F.skewness(c).alias(c) for c in columns])
+    wide = df.agg(*[F.skewness(number(c)).alias(c) for c in columns])
     return _per_column(
         wide,
         columns,
@@ -134,7 +136,7 @@ def skewness(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
 
 
 def kurtosis(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
-    wide = df.agg(*[F.kurtosis(c).alias(c) for c in columns])
+    wide = df.agg(*[F.kurtosis(number(c)).alias(c) for c in columns])
     return _per_column(
         wide,
         columns,
@@ -157,7 +159,7 @@ def iqr_outliers(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFr
 
     wide = df.agg(
         F.count(RECORDS).alias("#rows"),
-        *[F.count_if((F.col(c) < bounds(c)[0]) | (F.col(c) > bounds(c)[1])).alias(c) for c in columns],
+        *[F.count_if((number(c) < bounds(c)[0]) | (number(c) > bounds(c)[1])).alias(c) for c in columns],
     )
     return _per_column(
         wide,
@@ -217,19 +219,23 @@ def target_distribution(df: DataFrame, target: str = "loan_status") -> DataFrame
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, over the rows where both are set.
 
-    Grouping by pair keeps the generated code small enough to be compiled to
-    machine code, which one aggregate with all pairs is not; only one row per
-    pair and task is shuffled.
+    Aggregated wide, ``PAIRS_AT_ONCE`` pairs at a time so that the generated code stays
+    small enough to be compiled to machine code; only the sums of a task are shuffled,
+    and one row per group of pairs is turned into rows.
     """
-    pairs = [
-        f"named_struct('left_column', '{a}', 'right_column', '{b}', 'x', double({a}), 'y', double({b}))"
-        for a, b in combinations(columns, 2)
-    ]
-    return (
-        df.selectExpr(f"inline(array({', '.join(pairs)}))")
-        .groupBy("left_column", "right_column")
-        .agg(F.corr("x", "y").alias("correlation"))
-    )
+    pairs = list(combinations(columns, 2))
+    source = df.select(*[number(c).alias(c) for c in columns])
+    result = None
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        some = pairs[at : at + PAIRS_AT_ONCE]
+        wide = source.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(some)])
+        rows = [
+            F.struct(F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), F.col(f"p{i}").alias("correlation"))
+            for i, (a, b) in enumerate(some)
+        ]
+        part = wide.select(F.inline(F.array(*rows)))
+        result = part if result is None else result.unionByName(part)
+    return result
 
 
 def high_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -244,7 +250,7 @@ def numeric_by_target(df: DataFrame, columns: list[str] = NUMERIC_FEATURES, targ
     wide = df.where(F.col(target).isNotNull()).groupBy(target).agg(
         *[
             F.struct(
-                F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.count(c).alias("count")
+                F.avg(number(c)).alias("mean"), F.stddev_samp(number(c)).alias("std"), F.count(number(c)).alias("count")
             ).alias(c)
             for c in columns
         ]
@@ -298,15 +304,14 @@ def issues(df: DataFrame) -> DataFrame:
 
 
 def normality(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
-    """Jarque-Bera test of the first five numeric columns over all rows.
+    """Jarque-Bera test per numeric column over all rows.
 
     Its statistic has two degrees of freedom, where the chi-square tail is
     exp(-x/2).
     """
-    columns = columns[:5]
     wide = df.agg(
         *[
-            F.struct(F.count(c).alias("n"), F.skewness(c).alias("s"), F.kurtosis(c).alias("k")).alias(c)
+            F.struct(F.count(number(c)).alias("n"), F.skewness(number(c)).alias("s"), F.kurtosis(number(c)).alias("k")).alias(c)
             for c in columns
         ]
     )

@@ -1,33 +1,27 @@
 """Exact quantiles, running totals and rank statistics without one big task.
 
-Spark's own ``percentile`` keeps every distinct value of a group in one task. That
-is fine where the domain is small (ages, years, rates with two decimals) and is
-used there; amounts go through the functions below.
+Spark's own ``percentile`` and ``median`` keep every distinct value of a group in one
+task. Here values are counted first and the counts cut into slices, as many as their
+number asks for, so a task orders one slice and the last step one row per slice.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from creditlens.session import staged
+
 #: Relative rank error of the sketch is one over this.
 ACCURACY = 10000
-#: Slices per column for two-level running totals; a power of two.
-SLICES = 64
-#: Columns that their type (whole years, or a number with two decimals below
-#: 1000) holds to at most 100,000 distinct values: plain ``percentile`` suits them.
-SMALL_DOMAIN = frozenset(
-    {
-        "person_age",
-        "person_emp_length",
-        "loan_int_rate",
-        "loan_percent_income",
-        "cb_person_cred_hist_length",
-    }
-)
+#: Distinct values that a slice holds, about; and how many slices a key has at most.
+SLICE_VALUES = 1_000_000
+CUTS = 1024
+STEP = 32
 
 
 def number(name: str) -> Column:
@@ -47,7 +41,7 @@ def unpivoted(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFr
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
     """Interpolated quantiles as rows (column, probability, quantile).
 
-    Two scans. The first, run here, sketches each column and brackets every wanted
+    Two scans, both run here. The first sketches each column and brackets every wanted
     rank; the driver gets one row of cut points. The second counts: a value
     outside all brackets only adds to a counter for its gap, so what is shuffled
     and ordered is the values inside the brackets (about six in ten thousand rows
@@ -82,14 +76,27 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
             F.lit(name).alias("column"), zone.alias("zone"), F.when(inside, value).alias("key"), value.alias("value")
         )
 
-    counted = (
+    counted = staged(
         source.select(F.inline(F.array(*[zoned(name) for name in columns])))
         .where(F.col("value").isNotNull())
         .groupBy("column", "zone", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")),
+        "bracketed",
+    )
+    # Totals by zone, a few per column, then places inside a bracket by slices.
+    zones = counted.groupBy("column", "zone").agg(F.sum("n").alias("zone_n"))
+    zones = zones.withColumn("zone_start", F.sum("zone_n").over(Window.partitionBy("column").orderBy("zone")) - F.col("zone_n"))
+    inside = counted.where(F.col("key").isNotNull()).select("column", "zone", F.col("key").alias("value"), "n")
+    placed = with_running_total(inside, ["column", "zone"], "n").select(
+        "column", "zone", F.col("value").alias("key"), "n", F.col("value").alias("low"), F.col("value").alias("high"), "upto"
+    )
+    outside = counted.where(F.col("key").isNull()).withColumn("upto", F.col("n"))
+    # One row per column and zone of a fixed list, so this side stays small.
+    ranked = (
+        placed.unionByName(outside)
+        .join(F.broadcast(zones), ["column", "zone"])
+        .withColumn("upto", F.col("upto") + F.col("zone_start"))
     )
-    order = Window.partitionBy("column").orderBy("zone", F.col("key").asc_nulls_first())
-    ranked = counted.withColumn("upto", F.sum("n").over(order))
 
     def targets(name: str) -> list[Column]:
         rows = []
@@ -142,26 +149,58 @@ def quantile_values(
     """Quantiles as driver-side numbers, one per wanted (column, probability).
 
     Thresholds are few and small; as literals they keep the plans that use them
-    short and let Spark push them down. Columns of a small domain take one
-    aggregate, the others the two scans of ``exact_quantiles``.
+    short and let Spark push them down.
     """
-    function = F.percentile_approx if method == "approx" else F.percentile
-    simple = {name: ps for name, ps in wanted.items() if method == "approx" or name in SMALL_DOMAIN}
-    result: dict[str, dict[float, float | None]] = {}
-    if simple:
-        options = [ACCURACY] if method == "approx" else []
+    if method == "approx":
         row = df.agg(
-            *[
-                function(number(name), F.array(*[F.lit(p) for p in ps]), *options).alias(name)
-                for name, ps in simple.items()
-            ]
+            *[F.percentile_approx(number(name), F.array(*[F.lit(p) for p in ps]), ACCURACY).alias(name) for name, ps in wanted.items()]
         ).first()
-        result = {name: dict(zip(ps, row[name] or [None] * len(ps))) for name, ps in simple.items()}
-    rest = {name: ps for name, ps in wanted.items() if name not in simple}
-    if rest:
-        found = {(r["column"], r["probability"]): r["quantile"] for r in exact_quantiles(df, rest).collect()}
-        result |= {name: {p: found.get((name, p)) for p in ps} for name, ps in rest.items()}
-    return result
+        return {name: dict(zip(ps, row[name] or [None] * len(ps))) for name, ps in wanted.items()}
+    found = {(r["column"], r["probability"]): r["quantile"] for r in exact_quantiles(df, wanted).collect()}
+    return {name: {p: found.get((name, p)) for p in ps} for name, ps in wanted.items()}
+
+
+def group_medians(df: DataFrame, groups: dict[str, Column], column: str) -> DataFrame:
+    """Exact median of a column per group, as the group columns and ``median``.
+
+    Values are counted per group, so copies collapse before the shuffle; what is
+    ordered in one task is a slice of a group's distinct values. Counts and medians are
+    written, so that a plan that uses several medians does not grow with each.
+    """
+    keys = list(groups)
+    counts = staged(
+        df.select(*[g.alias(k) for k, g in groups.items()], number(column).alias("value"))
+        .where(F.col("value").isNotNull())
+        .groupBy(*keys, "value")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "group-values",
+    )
+    ranked = with_running_total(counts, keys, "n", fixed=False)
+    first, last = F.floor((F.col("n_all") - 1) / 2), F.floor(F.col("n_all") / 2)
+    start = F.col("upto") - F.col("n")
+    holds = [(start <= rank) & (rank < F.col("upto")) for rank in (first, last)]
+    return staged(
+        ranked.where(holds[0] | holds[1])
+        .groupBy(*keys)
+        .agg(*[F.max(F.when(held, F.col("value"))).alias(name) for held, name in zip(holds, ("lower", "upper"))])
+        .select(*keys, ((F.col("lower") + F.col("upper")) / 2).alias("median")),
+        "group-medians",
+    )
+
+
+def with_running_total(counts: DataFrame, keys: list[str], measure: str, fixed: bool = True) -> DataFrame:
+    """Add ``upto``, the sum of a measure up to each value of its key, and ``<measure>_all``."""
+    placed = in_ranges(counts, [measure], keys, fixed)
+    inside = Window.partitionBy(*keys, "range").orderBy("value")
+    before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(*keys, "range").agg(F.sum(measure).alias("__in"))
+    starts = starts.withColumn("__start", F.coalesce(F.sum("__in").over(before), F.lit(0))).drop("__in")
+    return (
+        placed.withColumn("upto", F.sum(measure).over(inside))
+        .join(starts, [*keys, "range"])
+        .withColumn("upto", F.col("upto") + F.col("__start"))
+        .drop("__start")
+    )
 
 
 def value_counts(df: DataFrame, columns: list[str], measures: dict[str, Column], keep: list[str] = ()) -> DataFrame:
@@ -171,29 +210,45 @@ def value_counts(df: DataFrame, columns: list[str], measures: dict[str, Column],
     )
 
 
-def in_ranges(counts: DataFrame, measures: list[str], slices: int = SLICES) -> DataFrame:
-    """Add ``range``, an ordered slice of each column's distinct values, and ``<measure>_all``.
+@functools.cache
+def _probabilities() -> Column:
+    # As text: a thousand literals one by one would take longer than the query.
+    return F.expr(f"array({', '.join(f'{i / CUTS}D' for i in range(1, CUTS))})")
+
 
-    The cut points come from a sketch per column (one small row each), so the
+def in_ranges(counts: DataFrame, measures: list[str], keys: list[str] = ["column"], fixed: bool = True) -> DataFrame:
+    """Add ``range``, an ordered slice of each key's distinct values, and ``<measure>_all``.
+
+    A key gets one slice per ``SLICE_VALUES`` distinct values, rounded up to a power of
+    two. The cut points come from a sketch per key (one small row each), so the
     slices hold about equally many distinct values whatever their distribution.
     Results never depend on where the cuts fall. The totals ride along: with
     them the side reads every column of the counts, and Spark runs the shuffle
-    behind both sides of the join once.
+    behind both sides of the join once. ``fixed`` says that the keys are a fixed list of
+    columns, whose bounds are few enough to broadcast.
     """
-    probabilities = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    bounds = counts.groupBy("column").agg(
-        F.percentile_approx("value", probabilities, ACCURACY).alias("bounds"),
+    bounds = counts.groupBy(*keys).agg(
+        F.count("value").alias("__distinct"),
+        F.percentile_approx("value", _probabilities(), ACCURACY).alias("__cuts"),
         *[F.sum(name).alias(f"{name}_all") for name in measures],
     )
-    # One row per column of a fixed list, so this side stays small.
-    placed = counts.join(F.broadcast(bounds), "column").withColumn("range", F.lit(0))
-    # Binary search, one projection per step: how many cuts lie below the value.
-    step = slices // 2
-    while step:
-        cut = F.element_at("bounds", F.col("range") + step)
-        placed = placed.withColumn("range", F.col("range") + F.when(cut < F.col("value"), step).otherwise(0))
-        step //= 2
-    return placed.drop("bounds")
+    slices = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.ceil(F.col("__distinct") / SLICE_VALUES), F.lit(1)))))
+    stride = F.greatest(F.lit(CUTS) / slices, F.lit(1)).cast("int")
+    bounds = bounds.withColumn("__stride", stride).select(
+        *keys,
+        *[f"{name}_all" for name in measures],
+        F.filter("__cuts", lambda cut, i: (i + 1) % F.col("__stride") == 0).alias("__bounds"),
+    )
+    bounds = bounds.withColumn("__coarse", F.filter("__bounds", lambda cut, i: (i + 1) % STEP == 0))
+    placed = counts.join(F.broadcast(bounds) if fixed else bounds, keys)
+
+    def below(cuts: str | Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut < F.col("value")))
+
+    # How many cuts lie below the value: first by every STEP-th cut, then among those between.
+    placed = placed.withColumn("range", below("__coarse") * STEP)
+    fine = F.when(F.size("__bounds") > 0, below(F.slice("__bounds", F.col("range") + 1, STEP - 1))).otherwise(0)
+    return placed.withColumn("range", F.col("range") + fine).drop("__bounds", "__coarse")
 
 
 def largest_gap(counts: DataFrame, left: str, right: str) -> DataFrame:

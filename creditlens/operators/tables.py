@@ -243,9 +243,9 @@ def extend_ttl(cache: DataFrame, chosen: Column, as_of: str, hours: int) -> Data
 
 
 def query_items(df: DataFrame, condition: Column, order: list[str], limit: int | None = None) -> DataFrame:
-    """Keyed query or filtered scan; a limit comes with an order so that it is repeatable."""
-    hits = df.where(condition).orderBy(*order)
-    return hits if limit is None else hits.limit(limit)
+    """Keyed query or filtered scan; only a limit needs an order, to be repeatable."""
+    hits = df.where(condition)
+    return hits if limit is None else hits.orderBy(*order).limit(limit)
 
 
 def put_items(stored: DataFrame, items: DataFrame, key: str, version: str) -> DataFrame:

@@ -6,7 +6,7 @@ from creditlens.functions import scoring
 from creditlens.operators import decisions as ops
 from creditlens.operators import models
 from creditlens.plans.fixture_sql import CACHE_KEY, RULE_SCORE
-from creditlens.plans.fixtures import AS_OF, Tables
+from creditlens.plans.fixtures import AS_OF, FEATURES, Tables
 from creditlens.plans.registry import query
 from creditlens.plans.shape import joined, rounded
 from creditlens.plans.validation import _scoring_sql
@@ -103,17 +103,22 @@ def status_cache_row(t: Tables):
     return ops.status_cache_rows(t.decided, AS_OF)
 
 
+def _request_sql() -> str:
+    """Key-sorted JSON of all features of a request; texts in quotes, numbers as they print."""
+    texts = {"person_home_ownership", "loan_intent", "loan_grade", "cb_person_default_on_file"}
+    mark = {True: "'\"' || {0} || '\"'", False: "{0}::VARCHAR"}
+    parts = [f"'\"{name}\":' || coalesce({mark[name in texts].format(name)}, 'null')" for name in sorted(FEATURES)]
+    return "md5('{' || " + " || ',' || ".join(parts) + " || '}')"
+
+
 @query(
     "cache_key",
     uses=("apps",),
-    sql=f"""SELECT application_id, {CACHE_KEY} AS cache_key,
-  md5('{{"cb_person_default_on_file":"' || cb_person_default_on_file || '","loan_grade":"' || loan_grade
-    || '","loan_intent":"' || loan_intent || '","person_age":' || person_age::VARCHAR || '}}') AS request_key FROM apps""",
+    sql=f"SELECT application_id, {CACHE_KEY} AS cache_key, {_request_sql()} AS request_key FROM apps",
 )
 def cache_key(t: Tables):
-    fields = ["person_age", "loan_intent", "loan_grade", "cb_person_default_on_file"]
     return t.apps.select(
-        "application_id", scoring.cache_key().alias("cache_key"), scoring.request_key(fields).alias("request_key")
+        "application_id", scoring.cache_key().alias("cache_key"), scoring.request_key(FEATURES).alias("request_key")
     )
 
 

@@ -41,7 +41,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
   (o_orderkey % 110)::DOUBLE / 100.0::DOUBLE AS loan_percent_income,
   CASE WHEN o_custkey % 7 = 0 THEN 'Y' ELSE 'N' END AS cb_person_default_on_file,
   CAST(o_custkey % 30 AS INTEGER) AS cb_person_cred_hist_length,
-  CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS loan_status,
+  CASE WHEN (o_orderkey % 110) * 2 + o_orderkey % 180 + (o_orderkey * 17 + o_custkey * 31) % 60 > 230 THEN 1 ELSE 0 END AS loan_status,
   o_orderdate AS created_at,
   CASE WHEN o_orderkey % 13 <> 0 THEN (o_orderkey * 37 % 1000)::DOUBLE / 1000.0::DOUBLE END AS model_score,
   CASE WHEN o_orderkey % 4 <> 0 THEN 'UW-' || (o_orderkey % 12)::VARCHAR END AS underwriter_id,

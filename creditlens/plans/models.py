@@ -7,27 +7,29 @@ from creditlens.plans.fixtures import AS_OF, Tables
 from creditlens.plans.registry import query
 from creditlens.session import run_folder
 
-# The learners are kept small here: the queries show the work over whole tables,
-# and the search spaces of operators.models are for real runs.
+# Learners and grids are small here, as documented arguments: the queries show the work
+# over whole tables. Without a given space a search covers all of operators.models' own.
+FOREST_GRID = {"numTrees": [10, 20], "maxDepth": [3, 5], "minInstancesPerNode": [1, 4], "featureSubsetStrategy": ["sqrt"], "bootstrap": [True]}
+BOOST_GRID = {"maxIter": [10], "maxDepth": [3], "stepSize": [0.1, 0.2], "subsamplingRate": [0.8, 1.0], "minInstancesPerNode": [1], "minInfoGain": [0.0]}
 SIZES = {"trees": 20, "depth": 5, "rounds": 10, "boost_depth": 3, "epochs": 15}
 
 
 def _prepared(t: Tables):
-    ready, _ = ops.prepare(t.apps)
+    ready, _, _ = ops.prepare(t.apps)
     return ready, ops.part(ready, "train"), ops.part(ready, "test")
 
 
 @query("ml_rf")
 def ml_rf(t: Tables):
     _, train, test = _prepared(t)
-    search = ops.cross_validate(ops.forest(10, 5), {"numTrees": [10, 20], "maxDepth": [5]}, train)
+    search = ops.cross_validate(ops.forest(), train, FOREST_GRID)
     return ops.tuned_metrics("random_forest", search, test)
 
 
 @query("ml_gbt")
 def ml_gbt(t: Tables):
     _, train, test = _prepared(t)
-    search = ops.cross_validate(ops.boosted(5, 3), {"stepSize": [0.1, 0.2]}, train)
+    search = ops.cross_validate(ops.boosted(), train, BOOST_GRID)
     return ops.tuned_metrics("boosted_trees", search, test)
 
 
@@ -50,7 +52,7 @@ def ml_vote(t: Tables):
 @query("ml_stack")
 def ml_stack(t: Tables):
     _, train, test = _prepared(t)
-    stacker = ops.fit_stacker(ops.out_of_fold(train, 3, SIZES))
+    stacker = ops.fit_stacker(ops.out_of_fold(train, sizes=SIZES))
     stacked = ops.stack(stacker, ops.with_probabilities(ops.base_models(train, SIZES), test))
     return stacked.select("application_id", "label", *[f"p_{m}" for m in ops.VOTE_WEIGHTS], "p_stack")
 
@@ -58,7 +60,7 @@ def ml_stack(t: Tables):
 @query("ml_select")
 def ml_select(t: Tables):
     _, train, _ = _prepared(t)
-    return ops.compare_ensembles(ops.out_of_fold(train, 3, SIZES), 3)
+    return ops.compare_ensembles(ops.out_of_fold(train, sizes=SIZES))
 
 
 @query("ml_importance")
@@ -72,29 +74,33 @@ def _full_model(t: Tables):
     """Feature stages and learner as one model, fitted on the training split."""
     from pyspark.ml import PipelineModel
 
-    ready, vectors = ops.prepare(t.apps)
+    ready, vectors, statistics = ops.prepare(t.apps)
     learner = ops.forest(SIZES["trees"], SIZES["depth"]).fit(ops.part(ready, "train"))
-    return ready, PipelineModel(stages=[*vectors.stages, learner]), learner
+    return ready, PipelineModel(stages=[*vectors.stages, learner]), learner, statistics
+
+
+def _loaded(path: str, t: Tables):
+    model, statistics = ops.load_model(path, t.spark)
+    return model, t.feed, statistics
 
 
 @query("ml_persist")
 def ml_persist(t: Tables):
-    ready, model, learner = _full_model(t)
+    ready, model, learner, statistics = _full_model(t)
     path = run_folder(t.spark, "model")
     value = ops.auc(ops.probability(learner, ops.part(ready, "test"), "p"), "p")
     metadata = {"model_name": "credit-risk-random-forest", "model_version": "1.0", "auc_score": value}
-    ops.save_model(model, path, metadata, t.spark)
-    loaded = ops.load_model(path)
-    same = ops.predict(loaded, t.feed)
+    ops.save_model(model, path, metadata, statistics, t.spark)
+    same = ops.predict(*_loaded(path, t))
     return same.select("application_id", "prob_default", "prediction_class")
 
 
 @query("ml_train")
 def ml_train(t: Tables):
     """Training from table to gate: prepare, tune, evaluate, save, decide on registration."""
-    ready, vectors = ops.prepare(t.apps)
+    ready, _, _ = ops.prepare(t.apps)
     train, test = ops.part(ready, "train"), ops.part(ready, "test")
-    search = ops.cross_validate(ops.forest(10, 5), {"maxDepth": [3, 5]}, train)
+    search = ops.cross_validate(ops.forest(), train, FOREST_GRID)
     scored = ops.probability(search.bestModel, test, "prob_default").withColumns(
         {
             "loan_status": F.col("label").cast("int"),
@@ -113,7 +119,7 @@ def ml_train(t: Tables):
 
 @query("batch_score")
 def batch_score(t: Tables):
-    ready, _, learner = _full_model(t)
+    ready, _, learner, _ = _full_model(t)
     scored = learner.transform(ready)
     from pyspark.ml.functions import vector_to_array
 
@@ -132,10 +138,10 @@ def batch_inference(t: Tables):
     from creditlens.sources.readers import read_any
     from creditlens.sources.writers import save_all_formats
 
-    _, model, _ = _full_model(t)
+    _, model, _, statistics = _full_model(t)
     base = run_folder(t.spark, "inference")
     t.feed.write.parquet(f"{base}/input.parquet")
-    predicted = ops.predict(model, read_any(t.spark, f"{base}/input.parquet"))
+    predicted = ops.predict(model, read_any(t.spark, f"{base}/input.parquet"), statistics)
     output = decisions.batch_output(predicted, "credit-risk-random-forest", "1.0", AS_OF)
     paths = save_all_formats(output, f"{base}/output")
     return decisions.batch_summary(t.spark.read.parquet(paths["parquet"]))

@@ -165,20 +165,24 @@ def profile_corr(t: Tables):
     return rounded(ops.correlations(t.feed, CORRELATED), "correlation")
 
 
+RATIOS = {"income_to_loan": "person_income / (loan_amnt + 1)", "monthly_payment": "loan_amnt * (1 + loan_int_rate / 100) / 12"}
+WITH_RATIOS = [*CORRELATED, *RATIOS]
+
+
 @query(
     "profile_corr_high",
-    uses=("apps",),
-    sql="""SELECT * FROM (SELECT 'rate' AS left_column, 'payment' AS right_column, round(corr(loan_int_rate, loan_int_rate * 10 + person_age), 6) AS correlation FROM apps
-UNION ALL SELECT 'rate', 'age', round(corr(loan_int_rate, person_age), 6) FROM apps
-UNION ALL SELECT 'payment', 'age', round(corr(loan_int_rate * 10 + person_age, person_age), 6) FROM apps) WHERE abs(correlation) > 0.7""",
+    uses=("feed",),
+    sql=f", ratios AS (SELECT *, {', '.join(f'{text} AS {name}' for name, text in RATIOS.items())} FROM feed) SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS left_column, '{b}' AS right_column, round(corr({a}, {b}), 6) AS correlation FROM ratios"
+        for a, b in combinations(WITH_RATIOS, 2)
+    )
+    + ") WHERE abs(correlation) > 0.7",
 )
 def profile_corr_high(t: Tables):
-    frame = t.apps.select(
-        F.col("loan_int_rate").alias("rate"),
-        (F.col("loan_int_rate") * 10 + F.col("person_age")).alias("payment"),
-        F.col("person_age").alias("age"),
-    )
-    return rounded(ops.high_correlations(frame, ["rate", "payment", "age"]), "correlation")
+    """The feed's columns and two ratios, one of which follows the loan closely."""
+    frame = t.feed.withColumns({name: F.expr(text) for name, text in RATIOS.items()})
+    return rounded(ops.high_correlations(frame, WITH_RATIOS), "correlation")
 
 
 @query(
@@ -229,7 +233,7 @@ def profile_issues(t: Tables):
     "profile_normality",
     uses=("feed",),
     sql=f"""SELECT column_name, round(jb, 4) AS statistic, round(exp(-jb / 2), 6) AS p_value, exp(-jb / 2) > 0.05 AS normal
-FROM (SELECT column_name, n / 6.0::DOUBLE * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0::DOUBLE) AS jb FROM ({moments(NUMERIC_FEATURES[:5])}))""",
+FROM (SELECT column_name, n / 6.0::DOUBLE * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0::DOUBLE) AS jb FROM ({moments(NUMERIC_FEATURES)}))""",
 )
 def profile_normality(t: Tables):
     return rounded(rounded(ops.normality(t.feed), "statistic", digits=4), "p_value")

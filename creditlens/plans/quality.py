@@ -84,16 +84,15 @@ def dq_validity(t: Tables):
 GRADE_RATE = """(loan_grade = 'A' AND loan_int_rate > 15) OR (loan_grade = 'B' AND loan_int_rate > 20) OR (loan_grade = 'C' AND loan_int_rate > 25)"""
 
 
-@query(
-    "dq_consistency",
-    uses=("feed_dup",),
-    sql=f""", n AS (SELECT count(*) AS n FROM feed_dup), c AS (
+CONSISTENCY_SQL = f""", n AS (SELECT count(*) AS n FROM feed_dup), c AS (
   SELECT 'age_employment_consistency' AS rule, count(*) FILTER (WHERE person_emp_length > person_age - 18) AS bad FROM feed_dup
   UNION ALL SELECT 'debt_income_consistency', count(*) FILTER (WHERE loan_percent_income > 1.0) FROM feed_dup
   UNION ALL SELECT 'grade_rate_consistency', count(*) FILTER (WHERE {GRADE_RATE}) FROM feed_dup
   UNION ALL SELECT 'duplicate_consistency', (SELECT n FROM n) - (SELECT count(*) FROM (SELECT DISTINCT * FROM feed_dup)))
-SELECT rule, bad AS inconsistent_records, round(bad * 100.0::DOUBLE / n, 6) AS percentage, round(1 - bad::DOUBLE / n, 6) AS consistency_score FROM c CROSS JOIN n""",
-)
+SELECT rule, bad AS inconsistent_records, round(bad * 100.0::DOUBLE / n, 6) AS percentage, round(1 - bad::DOUBLE / n, 6) AS consistency_score FROM c CROSS JOIN n"""
+
+
+@query("dq_consistency", uses=("feed_dup",), sql=CONSISTENCY_SQL)
 def dq_consistency(t: Tables):
     return rounded(ops.consistency(t.feed_dup), "percentage", "consistency_score")
 

@@ -1,9 +1,13 @@
 """Queries: files written and read back."""
 
+import time
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 
 from creditlens.operators import cleaning, quality
 from creditlens.plans.fixtures import AS_OF, CLEAN_COLUMNS, FEATURES, Tables
+from creditlens.plans.quality import CONSISTENCY_SQL
 from creditlens.plans.registry import query
 from creditlens.plans.shape import as_text, rounded
 from creditlens.plans.cleaning import CLEAN_JOB_RESULT, CLEAN_JOB_TABLES, COLUMNS
@@ -85,16 +89,25 @@ def src_arff(t: Tables):
 @query(
     "src_time_window",
     uses=("feed",),
-    sql="SELECT application_id, loan_grade, loan_amnt FROM feed WHERE loan_grade <> 'A'",
+    sql="SELECT application_id, loan_grade, loan_amnt FROM feed",
 )
 def src_time_window(t: Tables):
+    """Two sets of files, one older than a moment between them; the window takes the first."""
     base = run_folder(t.spark, "window")
     frame = t.feed.select("application_id", "loan_grade", "loan_amnt")
-    frame.where(F.col("loan_grade").isin("B", "C")).write.csv(f"{base}/one", header=True)
-    frame.where(F.col("loan_grade").isin("D", "E")).write.json(f"{base}/two")
-    frame.where(F.col("loan_grade").isin("F", "G")).write.parquet(f"{base}/three")
+    low, middle = F.col("loan_grade").isin("A", "B", "C"), F.col("loan_grade").isin("D", "E")
+    frame.where(low).write.csv(f"{base}/one", header=True)
+    frame.where(middle).write.json(f"{base}/two")
+    frame.where(~low & ~middle).write.parquet(f"{base}/three")
+    # File times have whole seconds.
+    time.sleep(1.1)
+    moment = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S")
+    time.sleep(1.1)
+    later = frame.withColumn("application_id", -F.col("application_id"))
+    later.write.csv(f"{base}/four", header=True)
+    later.write.parquet(f"{base}/five")
     schema = "application_id bigint, loan_grade string, loan_amnt double"
-    return readers.read_modified_between(t.spark, base, "2020-01-01T00:00:00", "2100-01-01T00:00:00", schema)
+    return readers.read_modified_between(t.spark, base, "2020-01-01T00:00:00", moment, schema)
 
 
 NULL_COLUMNS = " + ".join(
@@ -163,18 +176,12 @@ def sink_features(t: Tables):
     )
 
 
-@query(
-    "sink_report",
-    uses=("feed_dup",),
-    sql="""SELECT rule, inconsistent_records FROM (SELECT 'debt_income_consistency' AS rule,
-  count(*) FILTER (WHERE loan_percent_income > 1.0) AS inconsistent_records FROM feed_dup)""",
-)
+@query("sink_report", uses=("feed_dup",), sql=CONSISTENCY_SQL)
 def sink_report(t: Tables):
     path = f"{run_folder(t.spark, 'report')}/consistency"
     writers.save_report(quality.consistency(t.feed_dup), path)
     schema = "rule string, inconsistent_records bigint, percentage double, consistency_score double"
-    read = t.spark.read.schema(schema).json(path)
-    return read.where(F.col("rule") == "debt_income_consistency").select("rule", "inconsistent_records")
+    return rounded(t.spark.read.schema(schema).json(path), "percentage", "consistency_score")
 
 
 @query("event_roundtrip", uses=("feed",), sql=f"SELECT {COLUMNS} FROM feed")

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -76,15 +75,3 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = run_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def lookup_side(df: DataFrame, max_rows: int = 10000) -> DataFrame:
-    """The small side of a lookup join, with its size checked.
-
-    Up to ``max_rows`` rows come to the driver once and are broadcast; beyond
-    that the frame is returned as it is and Spark joins it by shuffle.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from creditlens.functions import scoring
 from creditlens.functions.validation import required_errors, type_errors
 from creditlens.operators.decisions import decide, score
+from creditlens.operators.models import predict
 from creditlens.operators.portfolio import portfolio_totals
-from creditlens.operators.tables import latest_per_key, split_wide_event
+from creditlens.operators.tables import split_wide_event
 from creditlens.session import run_folder
 
 
@@ -45,6 +46,12 @@ def scored(df: DataFrame) -> DataFrame:
     return score(accepted(df), "model_score")
 
 
+def model_scored(df: DataFrame, model, statistics) -> DataFrame:
+    """Valid applications scored by a fitted model; the rule stands in where it gives no number."""
+    predicted = predict(model, accepted(df), statistics).drop("prediction_class")
+    return score(predicted.withColumnRenamed("prob_default", "__model_score"), "__model_score").drop("__model_score")
+
+
 def decided(df: DataFrame) -> DataFrame:
     return decide(scored(df))
 
@@ -76,10 +83,14 @@ def distinct_feature_sets(df: DataFrame, keep: str = "7 days") -> DataFrame:
     return keyed.dropDuplicatesWithinWatermark(["cache_key"])
 
 
-def run_rows(stream: DataFrame, label: str) -> DataFrame:
-    """Run a stateless or append stream over what is there; rows land in files, exactly once."""
+def run_rows(stream: DataFrame, label: str, base: str | None = None) -> DataFrame:
+    """Run a stateless or append stream over what is there; rows land in files, exactly once.
+
+    ``base`` names the folder of rows and state. A later run over the same folder goes
+    on where the last one ended; without a name each run has a folder of its own.
+    """
     spark = stream.sparkSession
-    base = run_folder(spark, label)
+    base = base or run_folder(spark, label)
     query = (
         stream.writeStream.format("parquet")
         .option("path", f"{base}/rows")
@@ -92,8 +103,8 @@ def run_rows(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
-def _run_batches(stream: DataFrame, label: str, mode: str, write) -> str:
-    base = run_folder(stream.sparkSession, label)
+def _run_batches(stream: DataFrame, label: str, mode: str, write, base: str | None = None) -> str:
+    base = base or run_folder(stream.sparkSession, label)
     query = (
         stream.writeStream.foreachBatch(lambda df, batch: write(df, batch, base))
         .option("checkpointLocation", f"{base}/state")
@@ -110,29 +121,54 @@ def _write_batch(df: DataFrame, batch: int, base: str) -> None:
     df.write.mode("overwrite").parquet(f"{base}/rows/batch={batch}")
 
 
-def run_totals(stream: DataFrame, label: str, key: str | None = None) -> DataFrame:
-    """Run an aggregating stream in update mode; the last value per key is the result."""
-    base = _run_batches(stream, label, "update", _write_batch)
-    rows = stream.sparkSession.read.parquet(f"{base}/rows")
-    if key is None:
-        last = rows.withColumn("__one", F.lit(0))
-        return latest_per_key(last, "__one", "batch", "batch").drop("__one", "batch")
-    return latest_per_key(rows, key, "batch", "batch").drop("batch")
+def run_totals(stream: DataFrame, label: str, key: str | None = None, base: str | None = None) -> DataFrame:
+    """Run an aggregating stream in update mode; the last value per key is the result.
+
+    Each batch merges its keys into those of the batch before, so the newest folder
+    alone is the result, and a batch that runs again reads the same predecessor.
+    """
+    schema = stream.schema
+
+    def merge(df: DataFrame, batch: int, folder: str) -> None:
+        if key is None:
+            if df.isEmpty():
+                df = _totals_before(df.sparkSession, folder, batch, schema)
+        else:
+            earlier = _totals_before(df.sparkSession, folder, batch, schema)
+            df = df.unionByName(earlier.join(df.select(key), key, "left_anti"))
+        df.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+
+    base = _run_batches(stream, label, "update", merge, base)
+    return _totals_before(stream.sparkSession, base, None, schema)
+
+
+def _totals_before(spark, base: str, batch: int | None, schema) -> DataFrame:
+    """The totals of the newest batch before the given one, or of the newest of all."""
+    rows = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/rows")
+    files = rows.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [int(f.getPath().getName().removeprefix("batch=")) for f in files.listStatus(rows)] if files.exists(rows) else []
+    earlier = [n for n in found if batch is None or n < batch]
+    if not earlier:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{base}/rows/batch={max(earlier)}")
+
 
+def run_process(stream: DataFrame, label: str = "process", base: str | None = None) -> dict[str, DataFrame]:
+    """Store decided applications: per micro-batch one folder in each of the three tables.
 
-def run_process(stream: DataFrame, label: str = "process") -> dict[str, DataFrame]:
-    """Store decided applications: per micro-batch one folder in each of the three tables."""
+    The batch is decided and written once; the three tables are cut from what was written.
+    """
+    names = ("applications", "risk_scores", "decisions")
 
-    def write(df: DataFrame, batch: int, base: str) -> None:
-        for name, part in split_wide_event(df).items():
-            part.write.mode("overwrite").parquet(f"{base}/{name}/batch={batch}")
+    def write(df: DataFrame, batch: int, folder: str) -> None:
+        _write_batch(df, batch, f"{folder}/decided")
+        stored = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/decided/rows/batch={batch}")
+        for name, part in split_wide_event(stored).items():
+            part.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch}")
 
-    base = _run_batches(stream, label, "append", write)
+    base = _run_batches(stream, label, "append", write, base)
     spark = stream.sparkSession
-    return {
-        name: spark.read.parquet(f"{base}/{name}").drop("batch")
-        for name in ("applications", "risk_scores", "decisions")
-    }
+    return {name: spark.read.parquet(f"{base}/{name}").drop("batch") for name in names}
 
 
 def retain(df: DataFrame, as_of: str, time: str, hours: int) -> DataFrame:

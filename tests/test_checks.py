@@ -8,8 +8,6 @@ from conftest import SMALL
 
 QUERIES = entry.queries()
 CHECKS = entry.oracle_sql()
-# The longest training queries are left out; ml_train, ml_vote and ml_mlp cover their parts.
-SLOW = {"ml_stack", "ml_select", "ml_gbt", "ml_rf", "ml_persist"}
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +28,6 @@ def test_agrees_with_sql(spark, connection, name):
     assert compare(QUERIES[name](spark, SMALL), connection, CHECKS[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(CHECKS) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(CHECKS)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlens.functions.special import chi_square_p_value, ks_p_value
-from creditlens.operators import monitoring, quality
+from creditlens.operators import features, monitoring, profiling, quality, quantiles
 from creditlens.operators.features import split_by_hash, split_stratified
 from creditlens.operators.quantiles import area_under_roc, exact_quantiles, largest_gap, quantile_values, value_counts
 
@@ -150,3 +150,61 @@ def test_quality_of_an_empty_and_an_all_null_table(spark):
     row = quality.dimensions(nulls, "2001-08-02").first()
     assert row["completeness"] == 0.0 and row["validity"] == 0.0
     assert row["uniqueness"] == pytest.approx(1 / 3)
+
+
+@pytest.fixture
+def narrow_slices(monkeypatch):
+    """Few values per slice, so that small frames need many slices."""
+    monkeypatch.setattr(quantiles, "SLICE_VALUES", 40)
+
+
+def test_quantiles_of_distinct_doubles_over_many_slices(spark, narrow_slices):
+    values = [((i * 7919) % 3001) / 7 for i in range(3001)]
+    frame = spark.createDataFrame([(v, i % 3 if i % 5 else None) for i, v in enumerate(values)], "x double, g int")
+    wanted = [0.0, 0.13, 0.5, 0.999, 1.0]
+    found = quantiles.quantile_values(frame, {"x": wanted})["x"]
+    assert [found[p] for p in wanted] == pytest.approx([float(np.quantile(values, p)) for p in wanted])
+    medians = {r["g"]: r["median"] for r in quantiles.group_medians(frame, {"g": F.col("g")}, "x").collect()}
+    for group in (None, 0, 1, 2):
+        own = [v for i, v in enumerate(values) if (i % 3 if i % 5 else None) == group]
+        assert medians[group] == pytest.approx(float(np.median(own)))
+    ranges = quantiles.in_ranges(frame.select(F.lit("x").alias("column"), F.col("x").alias("value"), F.lit(1).alias("n")), ["n"])
+    sizes = [r["count"] for r in ranges.groupBy("range").count().collect()]
+    assert len(sizes) > 60 and max(sizes) <= 60
+
+
+def test_area_and_gap_over_many_slices(spark, narrow_slices):
+    rows = [(i, ((i * 37) % 500) / 500, int((i * 53) % 500 > (i * 37) % 500)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "id int, score double, label int")
+    pos = [s for _, s, y in rows if y]
+    neg = [s for _, s, y in rows if not y]
+    expected = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
+    assert quantiles.area_under_roc(frame, "score", "label").first()["auc"] == pytest.approx(expected)
+
+
+def test_nan_is_missing_in_drift_and_profiles(spark):
+    clean = spark.createDataFrame([(float(i),) for i in range(1, 6)] * 4, "x double")
+    dirty = clean.union(spark.createDataFrame([(float("nan"),)], "x double"))
+    other = spark.createDataFrame([(float(i),) for i in range(3, 9)] * 4, "x double")
+    for side in (clean, dirty):
+        assert monitoring.drift_psi(side, other, ["x"]).first()["psi"] == pytest.approx(monitoring.drift_psi(clean, other, ["x"]).first()["psi"])
+    assert monitoring.drift_psi(dirty, other, ["x"]).first()["psi"] > 0
+    assert profiling.describe(dirty, ["x"]).collect() == profiling.describe(clean, ["x"]).collect()
+    for test in (profiling.skewness, profiling.kurtosis, profiling.normality):
+        assert test(dirty, ["x"]).collect() == test(clean, ["x"]).collect()
+    pairs = [frame.withColumn("y", F.col("x") * 2) for frame in (clean, dirty)]
+    assert [profiling.correlations(p, ["x", "y"]).first()["correlation"] for p in pairs] == [pytest.approx(1.0)] * 2
+
+
+def test_null_labels_are_split_like_a_class(spark):
+    frame = spark.range(300).withColumn("y", F.when(F.col("id") < 100, F.lit(None)).otherwise(F.col("id") % 2).cast("int"))
+    shares = features.split_stratified(frame, "id", "y", {"train": 0.8, "test": 0.2}).groupBy("y", "split").count().collect()
+    assert {(r["y"], r["split"]): r["count"] for r in shares} == {(y, s): n for y in (None, 0, 1) for s, n in (("train", 80), ("test", 20))}
+
+
+def test_every_level_is_encoded(spark):
+    frame = spark.range(1000).select(F.concat(F.lit("l"), F.col("id") % 500).alias("c"))
+    levels = features.levels_of(frame, ["c"])
+    assert len(levels["c"]) == 500 and len(features.dummies(frame, levels, False).columns) == 500
+    (indexer,) = features.indexers(frame, ["c"])
+    assert len(indexer.labels) == 500

@@ -80,3 +80,40 @@ def test_a_batch_run_twice_overwrites_itself(spark, tables):
     flow._write_batch(frame, 3, base)
     flow._write_batch(frame, 3, base)
     assert spark.read.parquet(f"{base}/rows").count() == frame.count()
+
+
+def test_a_second_run_goes_on_where_the_first_ended(spark, tables):
+    """New files reach rows, totals and tables once, with the same base folder."""
+    source, base = run_folder(spark, "restart"), run_folder(spark, "restart-base")
+    schema = tables.apps.schema
+    first, second = tables.apps.where("application_id % 2 = 0"), tables.apps.where("application_id % 2 = 1")
+    seen = None
+    for part, so_far in ((first, first), (second, tables.apps)):
+        part.coalesce(1).write.mode("append").json(source)
+
+        def stream():
+            return spark.readStream.schema(schema).json(source)
+
+        ids = flow.run_rows(flow.accepted(stream()).select("application_id"), "r", f"{base}/rows")
+        assert rows(ids) == rows(flow.accepted(so_far).select("application_id"))
+        totals = flow.run_totals(portfolio_totals(flow.decided(stream())), "t", base=f"{base}/totals").first()
+        assert totals["total_applications"] == flow.accepted(so_far).count()
+        hourly = flow.run_totals(flow.hourly_totals(stream(), delay="5000 days"), "h", key="hour", base=f"{base}/hourly")
+        assert hourly.agg(F.sum("total_applications")).first()[0] == flow.accepted(so_far).count()
+        stored = flow.run_process(flow.decided(stream()), base=f"{base}/process")
+        seen = {name: frame.select("application_id").count() for name, frame in stored.items()}
+        assert set(seen.values()) == {flow.accepted(so_far).count()}
+    assert flow.run_totals(portfolio_totals(flow.decided(spark.readStream.schema(schema).json(source))), "t", base=f"{base}/totals").count() == 1
+
+
+def test_a_model_scores_a_stream(spark, tables, submitted):
+    from pyspark.ml import PipelineModel
+
+    from creditlens.operators import models
+
+    batch, stream = submitted
+    ready, vectors, statistics = models.prepare(tables.apps)
+    model = PipelineModel(stages=[*vectors.stages, models.forest(3, 3).fit(models.part(ready, "train"))])
+    scored = flow.run_rows(flow.model_scored(stream(), model, statistics).select("application_id", "risk_score"), "m")
+    direct = models.predict(model, flow.accepted(batch), statistics).select("application_id", F.col("prob_default").alias("risk_score"))
+    assert rows(scored) == rows(direct)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from creditlens.operators import cleaning, features, monitoring
 from creditlens.operators import tables as ops
-from creditlens.session import lookup_side, run_folder, shared_folder
+from creditlens.session import run_folder, shared_folder
 from creditlens.sources import events, readers, writers
 
 
@@ -16,12 +16,6 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert one != two and one.startswith(shared_folder(spark))
 
 
-def test_lookup_side_beyond_its_size_stays_a_plain_frame(spark):
-    frame = spark.range(20)
-    assert "LocalTableScan" in lookup_side(frame, 20)._jdf.queryExecution().executedPlan().toString()
-    assert lookup_side(frame, 10) is frame
-
-
 def test_caps_and_floors_keep_nulls(spark):
     frame = spark.createDataFrame([(101, -1.0, None, -5.0), (None, None, 51.0, None)], "person_age int, person_income double, person_emp_length double, loan_amnt double")
     rows = cleaning.floor_amounts(cleaning.cap_constants(frame)).collect()
@@ -78,14 +72,6 @@ def test_missing_columns_are_refused(spark):
         ops.require_columns(spark.range(1).withColumnRenamed("id", "a"), ["a", "b"])
 
 
-def test_too_many_levels_are_refused(spark):
-    frame = spark.range(60).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="more than 50"):
-        features.levels_of(frame, ["c"])
-    with pytest.raises(ValueError, match="more than 50"):
-        features.indexers(frame, ["c"])
-
-
 def test_arff_text(spark, tmp_path):
     (tmp_path / "d.arff").write_text(
         "% a comment\n@RELATION credit\n\n@ATTRIBUTE age NUMERIC\n@attribute grade STRING\n@DATA\n 25 , A\n\n% skipped\n?,  B \n@ home, C\n"
