@@ -161,7 +161,7 @@ def quantile_values(
 
 
 def group_medians(df: DataFrame, groups: dict[str, Column], column: str) -> DataFrame:
-    """Exact median of a column per group, as the group columns and ``median``.
+    """Exact median of a column per group, as the group columns and ``median``; a null group has none.
 
     Values are counted per group, so copies collapse before the shuffle; what is
     ordered in one task is a slice of a group's distinct values. Counts and medians are
