@@ -298,13 +298,18 @@ def _blocks(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         ids, classes = table["doc_id"].to_numpy(), table["class"].to_numpy()
         vocabulary, code = np.unique(content.flatten().to_numpy(), return_inverse=True)
         row = np.repeat(np.arange(len(sizes)), sizes)
+        # Only shingles that both sides have can be shared.
+        mine = asks[row]
+        common = np.bincount(code, mine, len(vocabulary)).astype(bool) & np.bincount(code, ~mine, len(vocabulary)).astype(bool)
+        row, code = row[common[code]], (np.cumsum(common) - 1)[code[common[code]]]
+        width = int(common.sum())
         x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
         at = np.empty(len(sizes), np.int64)
         at[x], at[y] = np.arange(len(x)), np.arange(len(y))
         shared = np.zeros((len(x), len(y)), np.float32)
         order = np.argsort(code, kind="stable")
         code, row = code[order], row[order]
-        for low in range(0, len(vocabulary), 4096):
+        for low in range(0, width, 4096):
             part = slice(np.searchsorted(code, low), np.searchsorted(code, low + 4096))
             mine = asks[row[part]]
             left, right = np.zeros((len(x), 4096), np.float32), np.zeros((len(y), 4096), np.float32)
