@@ -231,10 +231,22 @@ def latest_score(t: Tables):
     "latest_decision",
     uses=("decisions",),
     sql="""SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY application_id
-  ORDER BY decision_timestamp DESC, decision_id DESC) AS n FROM decisions) WHERE n = 1""",
+  ORDER BY decision_timestamp DESC, decision_id DESC) AS n FROM (SELECT * FROM decisions UNION ALL
+  SELECT * REPLACE (decision_id || '-2' AS decision_id, 'APPROVE' AS decision,
+    decision_timestamp + to_days(CAST(application_id % 3 - 1 AS INTEGER)) AS decision_timestamp)
+  FROM decisions WHERE decision = 'MANUAL_REVIEW')) WHERE n = 1""",
 )
 def latest_decision(t: Tables):
-    return ops.latest_per_key(t.decisions, "application_id", "decision_timestamp", "decision_id")
+    """Manual reviews have a second decision: a day before, at the same time, or a day later."""
+    days = F.make_dt_interval((F.col("application_id") % 3 - 1).cast("int"))
+    again = t.decisions.where(F.col("decision") == "MANUAL_REVIEW").withColumns(
+        {
+            "decision_id": F.concat("decision_id", F.lit("-2")),
+            "decision": F.lit("APPROVE"),
+            "decision_timestamp": F.col("decision_timestamp") + days,
+        }
+    )
+    return ops.latest_per_key(t.decisions.unionByName(again), "application_id", "decision_timestamp", "decision_id")
 
 
 def _json_sql(side: str) -> str:
@@ -341,31 +353,39 @@ def kv_upsert(t: Tables):
     return ops.put_items(stored, puts, "item_key", "version")
 
 
+WIDE_COLUMNS = {
+    "applications": {"application_id": "application_id::VARCHAR", "status": "CASE decision WHEN 'AUTO_APPROVE' THEN 'APPROVED' WHEN 'AUTO_REJECT' THEN 'REJECTED' ELSE 'MANUAL_REVIEW' END"}
+    | {c: f"{c}::VARCHAR" for c in ("person_age", "person_home_ownership", "loan_intent", "loan_grade", "cb_person_default_on_file")},
+    "risk_scores": {"application_id": "application_id::VARCHAR", "risk_category": "risk_level", "risk_score": "CAST(round(risk_score * 1000) AS BIGINT)::VARCHAR"},
+    "decisions": {
+        "application_id": "application_id::VARCHAR",
+        "decision": "CASE decision WHEN 'AUTO_APPROVE' THEN 'APPROVE' WHEN 'AUTO_REJECT' THEN 'REJECT' ELSE 'MANUAL_REVIEW' END",
+        "approval_probability": "CASE decision WHEN 'AUTO_APPROVE' THEN '950' WHEN 'MANUAL_REVIEW' THEN '600' ELSE '50' END",
+    },
+}
+
+
 @query(
     "split_wide_event",
     uses=("decided",),
-    sql="""SELECT 'applications' AS table_name, application_id, CASE decision WHEN 'AUTO_APPROVE' THEN 'APPROVED'
-  WHEN 'AUTO_REJECT' THEN 'REJECTED' ELSE 'MANUAL_REVIEW' END AS outcome, loan_amnt AS amount FROM decided
-UNION ALL SELECT 'risk_scores', application_id, risk_level, risk_score FROM decided
-UNION ALL SELECT 'decisions', application_id, CASE decision WHEN 'AUTO_APPROVE' THEN 'APPROVE'
-  WHEN 'AUTO_REJECT' THEN 'REJECT' ELSE 'MANUAL_REVIEW' END, CASE decision WHEN 'AUTO_APPROVE' THEN 0.95::DOUBLE
-  WHEN 'MANUAL_REVIEW' THEN 0.6::DOUBLE ELSE 0.05::DOUBLE END FROM decided""",
+    sql=" UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, application_id, '{name}' AS field, {text} AS value FROM decided"
+        for table, columns in WIDE_COLUMNS.items()
+        for name, text in columns.items()
+    ),
 )
 def split_wide_event(t: Tables):
-    parts = ops.split_wide_event(t.decided)
-    shown = {
-        "applications": ("status", "loan_amnt"),
-        "risk_scores": ("risk_category", "risk_score"),
-        "decisions": ("decision", "approval_probability"),
-    }
-    return ops.union_frames(
-        [
-            parts[name].select(
-                F.lit(name).alias("table_name"),
-                "application_id",
-                F.col(outcome).alias("outcome"),
-                F.col(amount).alias("amount"),
+    """Every table's fields as (field, value) rows; fractions in thousandths, so that both engines print alike."""
+    frames = []
+    for table, part in ops.split_wide_event(t.decided).items():
+        values = [
+            F.struct(
+                F.lit(name).alias("field"),
+                (F.round(F.col(name) * 1000).cast("bigint") if name in ("risk_score", "approval_probability") else F.col(name))
+                .cast("string")
+                .alias("value"),
             )
-            for name, (outcome, amount) in shown.items()
+            for name in WIDE_COLUMNS[table]
         ]
-    )
+        frames.append(part.select(F.lit(table).alias("table_name"), "application_id", F.inline(F.array(*values))))
+    return ops.union_frames(frames)
