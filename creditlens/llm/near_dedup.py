@@ -233,7 +233,7 @@ def components(links: DataFrame) -> DataFrame:
     """(doc_id, class) of every document in a link; the class is its component's least id.
 
     Alternates linking larger neighbours, then smaller ones, to the least neighbour, until
-    nothing changes. Each step leaves at most as many links as there were, none is
+    all that is left are stars. Each step leaves at most as many links as there were, none is
     collected, and a star's centre only gets one row per neighbour.
     """
     current = staged(
@@ -249,8 +249,9 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(low, "a")
         small = joined.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         following = staged(small.union(low.select("a", F.col("least").alias("b"))).distinct(), "links")
-        # Stars are stable: no link's end is itself the start of another.
-        if following.join(following.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty():
+        # Stars are stable: every node, a centre being its own, has one centre only.
+        centred = following.select(F.col("a").alias("node"), "b").union(following.select("b", "b"))
+        if centred.groupBy("node").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high").isEmpty():
             break
         current = following
     heads = following.select(F.col("b").alias("doc_id")).distinct()

@@ -178,6 +178,26 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
 
 
+def test_components_of_chains_in_random_order(spark):
+    """Small stars may leave a node two parents, which is not the end yet."""
+    rng = random.Random(8)
+    tables = [[(1, 2), (2, 3), (3, 5), (5, 0)]]
+    for length in range(4, 13, 2):
+        chain = rng.sample(range(100), length)
+        tables.append(list(zip(chain, chain[1:])))
+    mixed = []
+    for k in range(200):
+        chain = [1000 * (k + 1) + i for i in rng.sample(range(1000), rng.randrange(4, 13))]
+        mixed += zip(chain, chain[1:])
+    for links in [*tables, mixed]:
+        least = {x: x for pair in links for x in pair}
+        for _ in least:
+            for a, b in links:
+                least[a] = least[b] = min(least[a], least[b])
+        rows = near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert len(rows) == len(least) and {r["doc_id"]: r["class"] for r in rows} == least
+
+
 # 3 Quality rules
 
 
