@@ -4,14 +4,16 @@ The vocabulary of a merge-type model is read from a file that the caller names.
 gets a blank in front, blanks become the model's blank mark, and neighbouring symbols
 are merged best score first, leftmost first among equals, as the agenda of such an
 encoder does. With dropout, a candidate merge is skipped for good when the keyed hash of
-(seed, document, variant, unit, place) falls below the rate. Nothing is drawn at random,
+(seed, document, position, unit, place) falls below the rate. Nothing is drawn at random,
 so a lost task gives the same pieces again.
 
 A unit is a run of blanks and what follows up to the next blank; line breaks stand
 alone. No piece of the vocabulary crosses these bounds (checked when it is read), so
-units are encoded apart, and equal units of a chunk once. A unit's occurrences draw one
-of ``VARIANTS`` ways of skipping, by a hash of document and position. All distinct units
-of a chunk are merged side by side in arrays; units over ``LONG`` symbols use a heap.
+units are encoded apart. Every occurrence of a unit skips by a key of its own, a hash of
+seed, document and position. Equal units of a chunk are merged once without skipping,
+which names their candidates; only occurrences that skip one of these are merged again,
+each by itself. All these units of a chunk are merged side by side in arrays; units over
+``LONG`` symbols use a heap.
 
 Characters outside the vocabulary, and a blank mark that stands in the text itself,
 become bytes, so decoding gives back every text exactly.
@@ -38,7 +40,6 @@ from creditlens.llm import text as tx
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE = 0.1
 SEED = 17
-VARIANTS = 8
 LONG = 48
 #: Bytes of text encoded, and ids decoded, at a time.
 ENCODED = 1 << 20
@@ -167,10 +168,13 @@ def merge_heap(symbols: list[int], key: int, pieces: Pieces, limit: np.uint64) -
     return [(ids[i], i) for i in range(n) if alive[i]]
 
 
-def merge_all(symbols: np.ndarray, of: np.ndarray, key: np.ndarray, pieces: Pieces, limit: np.uint64) -> np.ndarray:
+def merge_all(
+    symbols: np.ndarray, of: np.ndarray, key: np.ndarray, pieces: Pieces, limit: np.uint64, offered: list | None = None
+) -> np.ndarray:
     """Merge many units side by side, in place; a symbol of -2 has become part of the one before.
 
     ``of`` bounds the units in ``symbols``. In each step every unit makes its best merge.
+    ``offered`` takes the candidates met, as (unit, left, middle, right).
     """
     total = len(symbols)
     unit = np.repeat(np.arange(len(of) - 1), np.diff(of))
@@ -189,6 +193,9 @@ def merge_all(symbols: np.ndarray, of: np.ndarray, key: np.ndarray, pieces: Piec
         good = made >= 0
         value[at[~good]] = NONE
         at, right, made = at[good], right[good], made[good]
+        if offered is not None:
+            first = of[unit[at]]
+            offered.append((unit[at], at - first, right - first, after[right] - first))
         if limit:
             first = of[unit[at]]
             skip = _skipped(key[unit[at]], at - first, right - first, after[right] - first, limit)
@@ -245,8 +252,26 @@ def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(begin - bounds, size)
 
 
-def encode_chunk(chunk: tx.Chunk, keys: np.ndarray, pieces: Pieces, rate: float, seed: int, variants: int) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of all texts of a chunk, and the bounds of each text in them."""
+def _occurrences(distinct: np.ndarray, back: np.ndarray, key: np.ndarray, short: np.ndarray, offered: list, limit: np.uint64) -> np.ndarray:
+    """Which occurrences skip a candidate of their unit's plain merging, or are of a long unit."""
+    unit, *place = (np.concatenate(x) for x in zip(*offered))
+    order = np.argsort(unit, kind="stable")
+    unit, place = unit[order], [x[order] for x in place]
+    bounds = np.searchsorted(unit, np.arange(len(distinct) + 1))
+    begin, size = bounds[:-1][back], np.diff(bounds)[back]
+    at, owner = _ragged(begin, size), np.repeat(np.arange(len(back)), size)
+    own = ~short[back]
+    own[owner[_skipped(key[owner], *(x[at] for x in place), limit)]] = True
+    return own
+
+
+def encode_chunk(
+    chunk: tx.Chunk, keys: np.ndarray, pieces: Pieces, rate: float, seed: int, variants: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of all texts of a chunk, and the bounds of each text in them.
+
+    With ``variants`` the occurrences of a unit skip in at most so many ways.
+    """
     rows = len(chunk.offsets) - 1
     filled = np.diff(chunk.offsets) > 0
     data = np.insert(chunk.data, chunk.offsets[:-1][filled], 32)
@@ -264,30 +289,51 @@ def encode_chunk(chunk: tx.Chunk, keys: np.ndarray, pieces: Pieces, rate: float,
     first_unit = np.searchsorted(start, of)
     hashes = tx.hash_spans(data, start, end)
     limit = np.uint64(min(int(rate * 2.0**64), tx.MASK))
-    if limit:
+    distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+
+    def merged_units(where: np.ndarray, key: np.ndarray, limit: np.uint64, offered: list | None = None):
+        begin, size = start[where], end[where] - start[where]
+        body = data[_ragged(begin, size)]
+        point, at = _code_points(body)
+        bounds = np.searchsorted(at, np.concatenate([[0], np.cumsum(size)]))
+        symbols = pieces.of_char[point]
+        counts = np.diff(bounds)
+        short = counts <= LONG
+        merged = symbols.copy()
+        chosen = np.flatnonzero(short)
+        inside = _ragged(bounds[:-1][chosen], counts[chosen])
+        small = np.concatenate([[0], np.cumsum(counts[chosen])])
+        made = None if offered is None else []
+        merged[inside] = merge_all(symbols[inside], small, key[chosen], pieces, limit, made)
+        if offered is not None:
+            offered += [(chosen[unit], *place) for unit, *place in made]
+        for unit in np.flatnonzero(~short & (offered is None)).tolist():
+            a, b = bounds[unit], bounds[unit + 1]
+            left = merge_heap(symbols[a:b].tolist(), int(key[unit]), pieces, limit)
+            merged[a:b] = -2
+            for symbol, place in left:
+                merged[a + place] = symbol
+        return body, at, bounds, merged, short
+
+    if not limit:
+        body, at, bounds, merged, _ = merged_units(where, distinct, limit)
+    else:
         doc = np.repeat(np.arange(rows), np.diff(first_unit))
         turn = (np.arange(len(start)) - first_unit[doc]).astype(np.uint64)
-        draw = tx.mix(keys[doc] + tx.mix(turn + tx.seeded(seed))) % np.uint64(variants)
-        hashes = tx.mix(hashes ^ tx.mix(draw + tx.seeded(seed + 1)))
-    distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-    begin, size = start[where], end[where] - start[where]
-    body = data[_ragged(begin, size)]
-    point, at = _code_points(body)
-    bounds = np.searchsorted(at, np.concatenate([[0], np.cumsum(size)]))
-    symbols = pieces.of_char[point]
-    counts = np.diff(bounds)
-    short = counts <= LONG
-    merged = symbols.copy()
-    chosen = np.flatnonzero(short)
-    inside = _ragged(bounds[:-1][chosen], counts[chosen])
-    small = np.concatenate([[0], np.cumsum(counts[chosen])])
-    merged[inside] = merge_all(symbols[inside], small, distinct[chosen], pieces, limit)
-    for unit in np.flatnonzero(~short).tolist():
-        a, b = bounds[unit], bounds[unit + 1]
-        left = merge_heap(symbols[a:b].tolist(), int(distinct[unit]), pieces, limit)
-        merged[a:b] = -2
-        for symbol, place in left:
-            merged[a + place] = symbol
+        draw = tx.mix(keys[doc] + tx.mix(turn + tx.seeded(seed)))
+        if variants:
+            draw %= np.uint64(variants)
+        key = tx.mix(hashes ^ tx.mix(draw + tx.seeded(seed + 1)))
+        offered: list = []
+        body, at, bounds, merged, short = merged_units(where, distinct, np.uint64(0), offered)
+        own = np.flatnonzero(_occurrences(distinct, back, key, short, offered, limit))
+        # What skips is merged by its own key and stands behind the shared units.
+        _, first, again = np.unique(key[own], return_index=True, return_inverse=True)
+        more = own[first]
+        own_body, own_at, own_bounds, own_merged, _ = merged_units(more, key[more], limit)
+        back[own] = len(distinct) + again
+        body, at = np.concatenate([body, own_body]), np.concatenate([at, own_at + len(body)])
+        bounds, merged = np.concatenate([bounds, own_bounds[1:] + bounds[-1]]), np.concatenate([merged, own_merged])
     # Characters without a piece are spelled in bytes.
     width = np.diff(np.append(at, len(body)))
     takes = np.where(merged == -2, 0, np.where(merged == -1, width, 1))
@@ -326,7 +372,7 @@ def encode(
     path: str = MODEL,
     rate: float = RATE,
     seed: int = SEED,
-    variants: int = VARIANTS,
+    variants: int | None = None,
     decoded: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` and ``_pieces``, the piece ids of ``text``.

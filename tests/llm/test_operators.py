@@ -384,6 +384,22 @@ def test_pieces_of_one_word_vary(spark):
     assert len(set(words)) > 1
 
 
+def test_every_occurrence_skips_for_itself(monkeypatch):
+    """A frequent word is split in many ways, and sharing plain units changes no piece."""
+    table = pieces.Pieces.load()
+    texts = ["unbelievable " * 4000, "the cat and the unbelievable dog, née Übergröße. " * 50, "x" * 60 + " internationalization " * 9]
+    (chunk,) = tx.chunks(pa.array(texts), 1 << 30)
+    keys = np.arange(3, dtype=np.uint64)
+    ids, of = pieces.encode_chunk(chunk, keys, table, 0.1, 1)
+    plain = table.of_char[32]
+    begins = np.flatnonzero(np.array([table.body[table.begin[i]] == 32 for i in ids[: of[1]].tolist()]))
+    ways = {tuple(x.tolist()) for x in np.split(ids[: of[1]], begins) if len(x) and x[0] != plain}
+    assert len(ways) > 8
+    monkeypatch.setattr(pieces, "LONG", 0)
+    alone = pieces.encode_chunk(chunk, keys, table, 0.1, 1)
+    assert np.array_equal(ids, alone[0]) and np.array_equal(of, alone[1])
+
+
 # 7 Line dedup
 
 
