@@ -8,7 +8,10 @@ The patterns are written so that no input makes Java's matcher recurse or retry:
 are possessive, and a run is only entered at its first character (or where the last
 match ended). They find what the plain patterns find.
 
-Context is read from the pieces on both sides of a match, up to ``CONTEXT_CHARS`` each.
+Context is ``CONTEXT_CHARS`` on each side of a match, in which matches of the same kind
+take no room but a blank, so it reaches past them. Matches with only separators or a
+short conjunction between them are a list, however long; a context word near one
+confirmed member counts for all.
 Four base kinds always stay once confirmed. Further kinds stay when their score, raised
 by context words near by, reaches ``LEAST_SCORE``.
 
@@ -44,6 +47,8 @@ KINDS = {
 }
 BASE = [kind for kind, (_, _, _, base) in KINDS.items() if base]
 CONTEXT_CHARS = 40
+#: What may stand between two members of a list.
+LIST_GAP = r"(?i)^[\s\p{Punct}]*+(?:(?:and|or|und|oder|et|ou|y|o|e)(?![\p{L}\p{N}])[\s\p{Punct}]*+)?$"
 CONTEXT_GAIN = 0.3
 LEAST_SCORE = 0.6
 #: A character without which a kind cannot match, looked for first.
@@ -72,6 +77,14 @@ def _running(values: Column) -> Column:
     return F.flatten(F.zip_with(blocks, starts, lambda block, start: F.transform(block["sums"], lambda v: v + start)))
 
 
+def _beside(i: Column, tails: Column, heads: Column) -> Column:
+    """The text on both sides of match ``i``; a piece between matches may be empty, a blank stands for a match."""
+    first = F.greatest(i + 1 - CONTEXT_CHARS, F.lit(1))
+    left = F.array_join(F.slice(tails, first, i + 2 - first), " ")
+    right = F.array_join(F.slice(heads, i + 2, F.lit(CONTEXT_CHARS + 1)), " ")
+    return F.concat_ws(" ", F.right(left, F.lit(CONTEXT_CHARS)), F.left(right, F.lit(CONTEXT_CHARS)))
+
+
 def luhn(digits: Column) -> Column:
     total = F.aggregate(
         F.sequence(F.lit(1), F.length(digits)),
@@ -118,8 +131,9 @@ def find_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and ``_spans``, all confirmed spans by start and kind."""
     frame = docs.select(*keep, F.col("text").alias("_pii_text"))
     text = F.col("_pii_text")
-    matched, placed, around, spans = {}, {}, {}, {}
+    matched, placed, around, judged, summed, spans = {}, {}, {}, {}, {}, {}
     for number, (kind, (pattern, base_score, words, base)) in enumerate(KINDS.items()):
+        cue = rf"(?i)\b(?:{words})"
         found = text.rlike(pattern)
         if kind in NEEDS:
             found = F.contains(text, F.lit(NEEDS[kind])) & found
@@ -127,29 +141,60 @@ def find_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
         values = F.col(f"_{kind}_values")
         placed[f"_{kind}_pieces"] = F.when(values.isNotNull(), F.split(text, pattern, -1))
         pieces = F.col(f"_{kind}_pieces")
+        cued = values.isNotNull() & text.rlike(cue)
         around[f"_{kind}_left"] = F.slice(pieces, F.lit(1), F.size(values))
-        around[f"_{kind}_right"] = F.slice(pieces, F.lit(2), F.size(values))
-        gap = F.col(f"_{kind}_left")
+        around[f"_{kind}_tails"] = F.when(cued, F.transform(pieces, lambda x: F.right(x, F.lit(CONTEXT_CHARS))))
+        around[f"_{kind}_heads"] = F.when(cued, F.transform(pieces, lambda x: F.left(x, F.lit(CONTEXT_CHARS))))
+        around[f"_{kind}_sure"] = F.transform(values, lambda x: confirmed(kind, x))
+        gap, sure = F.col(f"_{kind}_left"), F.col(f"_{kind}_sure")
+        tails, heads = F.col(f"_{kind}_tails"), F.col(f"_{kind}_heads")
         steps = F.zip_with(values, gap, lambda value, before: (F.length(value) + F.length(before)).cast("long"))
-        placed_at = f"_{kind}_before"
-        spans[kind] = (number, values, gap, steps, placed_at, base_score, words, base)
-    for layer in (matched, placed, around):
+        judged[f"_{kind}_before"] = F.when(values.isNotNull(), _running(steps))
+        # 1 where a match is confirmed and has a context word, and where a list begins.
+        judged[f"_{kind}_near"] = F.when(
+            tails.isNotNull(),
+            F.transform(
+                sure,
+                lambda x, i: F.when(x, _beside(i, tails, heads).rlike(cue)).otherwise(F.lit(False)).cast("long"),
+            ),
+        )
+        judged[f"_{kind}_begins"] = F.when(
+            tails.isNotNull(), F.transform(gap, lambda x, i: ((i == 0) | ~x.rlike(LIST_GAP)).cast("long"))
+        )
+        near, begins = F.col(f"_{kind}_near"), F.col(f"_{kind}_begins")
+        # Context words before each match and before the end; the list of each match; where each list begins.
+        summed[f"_{kind}_seen"] = F.when(near.isNotNull(), _running(F.concat(near, F.array(F.lit(0).cast("long")))))
+        summed[f"_{kind}_lists"] = F.when(near.isNotNull(), F.zip_with(_running(begins), begins, lambda x, y: (x + y).cast("int")))
+        summed[f"_{kind}_firsts"] = F.when(
+            near.isNotNull(),
+            F.concat(
+                F.filter(F.sequence(F.lit(0), F.size(begins) - 1), lambda i: F.get(begins, i) == 1),
+                F.array(F.size(begins)),
+            ),
+        )
+        spans[kind] = (number, base_score, base)
+    for layer in (matched, placed, around, judged, summed):
         frame = frame.select("*", *[c.alias(n) for n, c in layer.items()])
-    frame = frame.select("*", *[F.when(v.isNotNull(), _running(steps)).alias(at) for _, v, _, steps, at, *_ in spans.values()])
     lists = []
-    for kind, (number, values, gap, _, at, base_score, words, base) in spans.items():
-        zipped = F.arrays_zip(values, gap, F.col(f"_{kind}_right"), F.col(at))
+    for kind, (number, base_score, base) in spans.items():
+        value_of, left_of, at, sure_of = (F.col(f"_{kind}_{x}") for x in ("values", "left", "before", "sure"))
+        seen, member, firsts = (F.col(f"_{kind}_{x}") for x in ("seen", "lists", "firsts"))
+        near = F.transform(
+            member,
+            lambda n: F.get(seen, F.get(firsts, n)) > F.get(seen, F.get(firsts, n - 1)),
+        )
+        near = F.coalesce(near, F.transform(value_of, lambda _: F.lit(False)))
+        zipped = F.arrays_zip(
+            value_of.alias("value"), left_of.alias("left"), at.alias("before"), sure_of.alias("sure"), near.alias("near")
+        )
 
         def is_sure(x):
-            return confirmed(kind, x[f"_{kind}_values"])
+            return x["sure"]
 
         def placed_span(x):
-            value, left = x[f"_{kind}_values"], x[f"_{kind}_left"]
-            start = x[at] + F.length(left)
-            end = start + F.length(value)
-            beside = F.concat_ws(" ", F.right(left, F.lit(CONTEXT_CHARS)), F.left(x[f"_{kind}_right"], F.lit(CONTEXT_CHARS)))
-            near = beside.rlike(rf"(?i)\b(?:{words})")
-            score = F.lit(base_score) + F.when(near, F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0))
+            start = x["before"] + F.length(x["left"])
+            end = start + F.length(x["value"])
+            score = F.lit(base_score) + F.when(x["near"], F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0))
             return F.struct(
                 start.alias("start"),
                 F.lit(number).alias("kind_no"),

@@ -285,6 +285,25 @@ def test_odd_personal_data(spark, odd, none):
     assert pii.find_spans(odd, odd.columns).count() == odd.count() and pii.find_spans(none, ["doc_id"]).isEmpty()
 
 
+def test_numbers_in_lists(spark):
+    """One cue holds for all numbers of its list, before or behind it, however long."""
+    many = ", ".join(f"650-555-{1000 + i}" for i in range(300))
+    texts = {
+        0: ("phone: 650-555-1234, 650-555-9876", {"local_phone": 2}),
+        1: ("SSN: 123-45-6789; 234-56-7890 and 345-67-8901", {"ssn": 3}),
+        2: (f"phone: {many}", {"local_phone": 300}),
+        3: (f"{many} (mobile)", {"local_phone": 300}),
+        4: ("call 650-555-1234 (home), 650-555-9876 (work), 650-555-4321 (boat)", {"local_phone": 3}),
+        5: ("650-555-9876 is the part of the order that was sent out in spring, so call 650-555-1234", {"local_phone": 1}),
+        6: ("123-45-6789, 234-56-7890", {}),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    rows = pii.find_spans(docs, ["doc_id", "text"]).collect()
+    for row in rows:
+        kinds = [s["kind"] for s in row["_spans"] if s["kind"] in ("ssn", "local_phone")]
+        assert {k: kinds.count(k) for k in kinds} == texts[row["doc_id"]][1], row["doc_id"]
+
+
 # 5 Decontamination
 
 
