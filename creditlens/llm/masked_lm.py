@@ -5,21 +5,28 @@ embedding table of its own, their sum goes through tanh, and a two-level softmax
 then word in the class) gives the hidden word's probability. A document's score is the
 sum of log-probabilities of all its words, each hidden in turn.
 
-All documents teach. Their words are counted, the most frequent ``VOCABULARY`` - 1 keep
-an id, the rest share one. Training runs in rounds over the whole corpus: each task
+All documents teach. All their words are counted. Words above a count keep an id; the
+count is the least that leaves as many as ``GROWTH`` times the root of all occurrences,
+or ``VOCABULARY`` - 1 where that is more. The rest share one id, and each has its own probability
+within that: its count over all of theirs, from a table of all words that stays in Spark.
+Words seen once are told apart by their bytes, under a model of byte pairs taught by all
+words without an id. Training runs in rounds over the whole corpus: each task
 starts from the shared parameters, hides ``HIDDEN_SHARE`` of the words of every document
 (by a hash of document text and position) and descends on them; the tasks' parameters
 are then averaged, weighted by words, block by block in a stream, so neither a task nor
-the driver holds more than one copy of a block and the sum. The parameters have a fixed
-size, set by ``VOCABULARY`` and ``SIZE``.
+the driver holds more than one copy of a block and the sum. The parameters grow with the
+root of the corpus.
 
 Defined results: null and texts without words have 0 words, score 0 and a null mean;
-without any word in the corpus all scores are 0; repeated rows teach each time.
+without any word in the corpus all scores are 0; repeated rows teach each time. A word
+that the model's counts lack scores like a word seen once; where none was seen once, as
+if one were. Rows are told apart by a 64-bit hash of id and text; equal rows score alike.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +40,17 @@ from creditlens.session import staged
 
 REACH = 2
 SIZE = 24
+#: The least number of ids; a larger corpus has more.
 VOCABULARY = 4096
-CLASSES = 64
-PER_CLASS = VOCABULARY // CLASSES
+GROWTH = 2
 HIDDEN_SHARE = 0.15
 ROUNDS = 2
 RATE = 0.15
 BATCH = 2048
 BLOCK = 8192
 SEED = 3
-OTHER = VOCABULARY - 1  # the id of all rarer words
-OUTSIDE = VOCABULARY  # the id beyond a text's ends
+OUTSIDE = -1  # the id beyond a text's ends, the last row of a table
+END = 256  # the byte before and behind a word
 OFFSETS = [j for j in range(-REACH, REACH + 1) if j]
 
 
@@ -54,26 +61,45 @@ class Window:
     known: np.ndarray
     ids: np.ndarray
     parts: dict[str, np.ndarray]
+    others: int = 0  # occurrences of words without an id
+    once: int = 0  # of these, words seen once
+    spelling: np.ndarray | None = None  # log-probability of a byte behind a byte
+    counts: DataFrame | None = None  # all words' counts; stays with the driver
 
     @classmethod
     def start(cls, known: np.ndarray, counts: np.ndarray, others: int, seed: int = SEED) -> Window:
         """Near zero, with biases of the words' shares, so that training starts at the unigram model."""
         rng = np.random.default_rng(seed)
-        share = np.zeros(VOCABULARY)
+        classes = math.isqrt(max(VOCABULARY, len(known) + 1) - 1) + 1
+        share = np.zeros(classes**2)
         share[: len(counts)] = counts
-        share[OTHER] = others
+        share[-1] = others
         share = (share + 0.5) / (share + 0.5).sum()
-        by_class = share.reshape(CLASSES, PER_CLASS)
+        by_class = share.reshape(classes, classes)
         parts = {
-            "context": rng.normal(0, 0.1, (len(OFFSETS), VOCABULARY + 1, SIZE)),
+            "context": rng.normal(0, 0.1, (len(OFFSETS), len(share) + 1, SIZE)),
             "shift": np.zeros(SIZE),
-            "class": rng.normal(0, 0.05, (CLASSES, SIZE)),
+            "class": rng.normal(0, 0.05, (classes, SIZE)),
             "class_bias": np.log(by_class.sum(axis=1)),
-            "word": rng.normal(0, 0.05, (CLASSES, PER_CLASS, SIZE)),
+            "word": rng.normal(0, 0.05, (classes, classes, SIZE)),
             "word_bias": np.log(by_class / by_class.sum(axis=1, keepdims=True)),
         }
         order = np.argsort(known)
-        return cls(known[order], np.arange(len(known))[order], {k: v.astype(np.float32) for k, v in parts.items()})
+        return cls(known[order], np.arange(len(known))[order], {k: v.astype(np.float32) for k, v in parts.items()}, others)
+
+    @property
+    def classes(self) -> int:
+        """Classes, and words in each."""
+        return len(self.parts["class"])
+
+    @property
+    def other(self) -> int:
+        """The id of all rarer words."""
+        return self.classes**2 - 1
+
+    def bare(self) -> Window:
+        """What tasks need."""
+        return replace(self, counts=None)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.parts[k].ravel() for k in sorted(self.parts)])
@@ -84,13 +110,13 @@ class Window:
             size = self.parts[k].size
             parts[k] = values[at : at + size].reshape(self.parts[k].shape).astype(np.float32)
             at += size
-        return Window(self.known, self.ids, parts)
+        return replace(self, parts=parts)
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.known):
-            return np.full(len(hashes), OTHER)
+            return np.full(len(hashes), self.other)
         at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        return np.where(self.known[at] == hashes, self.ids[at], OTHER)
+        return np.where(self.known[at] == hashes, self.ids[at], self.other)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
         total = self.parts["context"][0][around[0]]
@@ -101,11 +127,11 @@ class Window:
     def log_probabilities(self, around: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Of each word between the words around it."""
         h = self.hidden(around)
-        group, inner = words // PER_CLASS, words % PER_CLASS
+        group, inner = words // self.classes, words % self.classes
         result = _picked(h @ self.parts["class"].T + self.parts["class_bias"], group)
         # Words are dealt by class, so that each class is one product.
         order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        bounds = np.searchsorted(group[order], np.arange(self.classes + 1))
         for c in np.flatnonzero(np.diff(bounds)).tolist():
             rows = order[bounds[c] : bounds[c + 1]]
             z = h[rows] @ self.parts["word"][c].T + self.parts["word_bias"][c]
@@ -140,14 +166,14 @@ class Descent:
     def step(self, around: np.ndarray, words: np.ndarray) -> None:
         parts, n = self.model.parts, len(words)
         h = self.model.hidden(around)
-        group, inner = words // PER_CLASS, words % PER_CLASS
+        group, inner = words // self.model.classes, words % self.model.classes
         p = _softmax(h @ parts["class"].T + parts["class_bias"])
         p[np.arange(n), group] -= 1
         back = p @ parts["class"]
         self._move("class", slice(None), p.T @ h / n)
         self._move("class_bias", slice(None), p.mean(axis=0))
         order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        bounds = np.searchsorted(group[order], np.arange(self.model.classes + 1))
         for c in np.flatnonzero(np.diff(bounds)).tolist():
             rows = order[bounds[c] : bounds[c + 1]]
             q = _softmax(h[rows] @ parts["word"][c].T + parts["word_bias"][c])
@@ -164,10 +190,60 @@ class Descent:
             self._move("context", (k, ids[first]), np.add.reduceat(back[order], first, axis=0) / n)
 
 
-def _words(chunk: tx.Chunk, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spelled_words(chunk: tx.Chunk, inside: np.ndarray) -> tuple[np.ndarray, tx.Words, np.ndarray]:
+    """Hashes of all words, their bounds, and the bytes that these bound."""
     lowered = tx.Chunk(chunk.first, chunk.last, LOWERED[chunk.data], chunk.offsets)
     words = tx.find_words(lowered, inside)
-    return tx.hash_spans(lowered.data, words.start, words.end), words.of
+    return tx.hash_spans(lowered.data, words.start, words.end), words, lowered.data
+
+
+def _words(chunk: tx.Chunk, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    hashes, words, _ = _spelled_words(chunk, inside)
+    return hashes, words.of
+
+
+def byte_pairs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte pairs of words, ends included, as first x 257 + second; and where each word's begin."""
+    size = end - start
+    bounds = np.concatenate([[0], np.cumsum(size + 1)])
+    at = np.arange(int(bounds[-1])) + np.repeat(start - bounds[:-1], size + 1)
+    second = data[np.minimum(at, max(len(data) - 1, 0))].astype(np.int64)
+    second[bounds[1:] - 1] = END
+    first = np.empty(len(second), np.int64)
+    first[1:] = second[:-1]
+    first[bounds[:-1]] = END
+    return first * 257 + second, bounds
+
+
+def spell(model: Window, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Log-probability of each word's bytes and its end."""
+    if not len(start):
+        return np.zeros(0)
+    pairs, bounds = byte_pairs(data, start, end)
+    return np.add.reduceat(model.spelling[pairs], bounds[:-1])
+
+
+def spelling(docs: DataFrame, model: Window) -> np.ndarray:
+    """The byte model, taught by all occurrences of words without an id."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.bare())
+
+    def count(batches):
+        inside, own = tx.table(SEPARATORS), shared.value
+        held = np.zeros(257 * 257, np.int64)
+        for batch in batches:
+            for chunk in tx.chunks(batch.column(0)):
+                hashes, words, data = _spelled_words(chunk, inside)
+                rare = own.word_ids(hashes) == own.other
+                if rare.any():
+                    held += np.bincount(byte_pairs(data, words.start[rare], words.end[rare])[0], minlength=len(held))
+        pair = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(held[pair], pa.int64())], names=["pair", "n"])
+
+    counted = docs.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    table = np.full(257 * 257, 0.1)
+    table[counted["pair"].to_numpy(np.int64)] += counted["n"].to_numpy(np.int64)
+    table = table.reshape(257, 257)
+    return np.log(table / table.sum(axis=1, keepdims=True)).ravel()
 
 
 def _around(ids: np.ndarray, of: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -198,15 +274,23 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def first_model(docs: DataFrame) -> Window:
     counts = staged(word_counts(docs), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).toPandas()
-    total = int(counts.agg(F.sum("n").alias("n")).first()["n"] or 0)
+    facts = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once")).first()
+    total = int(facts["n"] or 0)
+    most = max(VOCABULARY - 1, int(GROWTH * math.sqrt(total)))
+    # All words above the least count that leaves no more than ``most``.
+    tally = counts.groupBy("n").agg(F.count("*").alias("words")).toPandas().sort_values("n", ascending=False)
+    fits = tally["n"][tally["words"].cumsum() <= most]
+    least = int(fits.min()) if len(fits) else total + 1
+    top = counts.where(F.col("n") >= least).toPandas().sort_values(["n", "word"], ascending=[False, True])
     known = top["word"].to_numpy(np.int64).view(np.uint64)
-    return Window.start(known, top["n"].to_numpy(np.int64), total - int(top["n"].sum()))
+    model = Window.start(known, top["n"].to_numpy(np.int64), total - int(top["n"].sum()))
+    model = replace(model, once=int(facts["once"]) - int((top["n"] == 1).sum()), counts=counts)
+    return replace(model, spelling=spelling(docs, model))
 
 
 def train_round(docs: DataFrame, model: Window, turn: int) -> Window:
     """One pass over all documents by tasks that start alike, and the average of what they reach."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.bare())
 
     def descend(batches):
         inside, own = tx.table(SEPARATORS), shared.value
@@ -224,9 +308,9 @@ def train_round(docs: DataFrame, model: Window, turn: int) -> Window:
                     descent.step(around[:, a : a + BATCH], words[a : a + BATCH])
                 taught += len(at)
         if taught:
-            values = own.flat().astype(np.float64) * taught
+            values = own.flat()
             for number, a in enumerate(range(0, len(values), BLOCK)):
-                block = pa.array([values[a : a + BLOCK].tolist()], pa.list_(pa.float64()))
+                block = pa.array([values[a : a + BLOCK]], pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([taught], pa.int64()), block], names=["block", "taught", "values"])
 
     def total(batches):
@@ -235,7 +319,7 @@ def train_round(docs: DataFrame, model: Window, turn: int) -> Window:
             for number, taught, values in zip(batch[0].to_pylist(), batch[1].to_pylist(), batch[2]):
                 sums = held.setdefault(number, [0, 0.0])
                 sums[0] += taught
-                sums[1] = sums[1] + values.values.to_numpy()
+                sums[1] = sums[1] + values.values.to_numpy().astype(np.float64) * taught
         for number, (taught, values) in held.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([taught], pa.int64()), pa.array([(values / taught).tolist()], pa.list_(pa.float64()))],
@@ -243,7 +327,7 @@ def train_round(docs: DataFrame, model: Window, turn: int) -> Window:
             )
 
     schema = "block long, taught long, values array<double>"
-    reached = docs.select("text").mapInArrow(descend, schema)
+    reached = docs.select("text").mapInArrow(descend, "block long, taught long, values array<float>")
     # The rows of a block meet in one task, which adds them up as they come.
     blocks = -(-model.flat().size // BLOCK)
     averaged = reached.repartition(blocks, "block").mapInArrow(total, schema).toArrow()
@@ -262,14 +346,16 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> Window:
 
 def score(docs: DataFrame, model: Window) -> DataFrame:
     """doc_id, n_words, the sum of log-probabilities and its mean per word."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select("doc_id", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(model.bare())
+    source = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_row"))
     schema = T.StructType(
         [
             source.schema["doc_id"],
+            T.StructField("_row", T.LongType()),
             T.StructField("n_words", T.LongType()),
-            T.StructField("pseudo_log_likelihood", T.DoubleType()),
-            T.StructField("mean_log_probability", T.DoubleType()),
+            T.StructField("_sum", T.DoubleType()),
+            T.StructField("_rare", T.ArrayType(T.LongType())),
+            T.StructField("_spelled", T.ArrayType(T.FloatType())),
         ]
     )
 
@@ -277,17 +363,50 @@ def score(docs: DataFrame, model: Window) -> DataFrame:
         inside, own = tx.table(SEPARATORS), shared.value
         for batch in batches:
             for chunk in tx.chunks(batch.column(1)):
-                hashes, of = _words(chunk, inside)
-                ids = own.word_ids(hashes)
+                hashes, words, data = _spelled_words(chunk, inside)
+                of, ids = words.of, own.word_ids(hashes)
                 logs = np.zeros(len(ids))
                 for a in range(0, len(ids), 1 << 15):
                     at = np.arange(a, min(a + (1 << 15), len(ids)))
                     logs[at] = own.log_probabilities(_around(ids, of, at), ids[at])
                 running = np.concatenate([[0.0], np.cumsum(logs)])
-                counts = np.diff(of)
                 sums = running[of[1:]] - running[of[:-1]]
-                means = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
-                rows = batch.column(0).slice(chunk.first, chunk.last - chunk.first)
-                yield pa.RecordBatch.from_arrays([rows, pa.array(counts, pa.int64()), pa.array(sums), means], names=schema.names)
-
-    return source.mapInArrow(run, schema)
+                rare = np.flatnonzero(ids == own.other)
+                bounds = pa.array(np.searchsorted(rare, of), pa.int32())
+                spelled = spell(own, data, words.start[rare], words.end[rare]).astype(np.float32)
+                part = batch.slice(chunk.first, chunk.last - chunk.first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(2),
+                        pa.array(np.diff(of), pa.int64()),
+                        pa.array(sums),
+                        pa.ListArray.from_arrays(bounds, pa.array(hashes[rare].view(np.int64))),
+                        pa.ListArray.from_arrays(bounds, pa.array(spelled)),
+                    ],
+                    names=schema.names,
+                )
+
+    rows = staged(source.mapInArrow(run, schema), "network-scores")
+    # Words without an id get their share of that id's probability from the counts of all words.
+    words = rows.select("_row", F.explode(F.arrays_zip("_rare", "_spelled")).alias("x")).select(
+        "_row", F.col("x._rare").alias("word"), F.col("x._spelled").alias("spelled")
+    )
+    all_of_them = float(max(model.others, 1))
+    alone = math.log(max(model.once, 1) / all_of_them)
+    share = F.when(F.col("n") > 1, F.log(F.col("n") / all_of_them)).otherwise(F.col("spelled") + alone)
+    within = words.join(model.counts, "word", "left").groupBy("_row").agg(F.sum(share).alias("_within"))
+    # Equal rows have one key; each brought its words.
+    copies = rows.where(F.size("_rare") > 0).groupBy("_row").agg(F.count("*").alias("_copies"))
+    within = within.join(copies, "_row").select("_row", (F.col("_within") / F.col("_copies")).alias("_within"))
+    total = F.col("_sum") + F.coalesce("_within", F.lit(0.0))
+    return (
+        rows.select("doc_id", "_row", "n_words", "_sum")
+        .join(within, "_row", "left")
+        .select(
+            "doc_id",
+            "n_words",
+            total.alias("pseudo_log_likelihood"),
+            F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_probability"),
+        )
+    )

@@ -521,6 +521,29 @@ def test_training_helps_and_every_word_counts(spark, odd, none):
         assert all((r["n_words"] > 0) == (r["mean_log_probability"] is not None) and r["pseudo_log_likelihood"] <= 0 for r in rows)
 
 
+def test_every_word_has_a_probability_of_its_own(spark, monkeypatch):
+    """Words without an id score by their own counts, once-seen ones by their bytes, and ids follow the corpus."""
+    monkeypatch.setattr(masked_lm, "VOCABULARY", 4)
+    monkeypatch.setattr(masked_lm, "GROWTH", 0.01)
+    common = "one two three " * 50
+    texts = [common + "rare " * 6, common + "seldom " * 2, "rare", "seldom", "seldon", "qqqxqq", None, "seldon", "seldon"]
+    ids = [*range(7), 4, 4]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    model = masked_lm.first_model(docs)
+    got = {r["doc_id"]: r["pseudo_log_likelihood"] for r in masked_lm.score(docs, model).collect()}
+    others = model.others
+    assert (others, model.once) == (7 + 3 + 3 + 1, 1) and got[2] > got[3] > got[5]
+    assert got[2] - got[3] == pytest.approx(math.log(7 / 3), abs=1e-5)
+    assert got[3] == pytest.approx(got[4], abs=1e-5) and got[6] == 0
+    word = np.frombuffer(b"qqqxqq", np.uint8)
+    spelled = masked_lm.spell(model, word, np.array([0]), np.array([6]))[0]
+    assert got[5] - got[2] == pytest.approx(spelled + math.log(1 / others) - math.log(7 / others), abs=1e-4)
+    monkeypatch.setattr(masked_lm, "GROWTH", 0.35)
+    grown = masked_lm.first_model(docs)
+    assert len(grown.known) == 6 and grown.classes == 3 and model.classes == 2
+    assert np.exp(model.spelling.reshape(257, 257)).sum(axis=1) == pytest.approx(1)
+
+
 # 10 Archives
 
 
