@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express, computed another way than in Spark."""
 
-from creditlens.llm import decontaminate, line_dedup, quality_rules, warc
+from creditlens.llm import decontaminate, line_dedup, merkle, quality_rules, warc
 
 #: Words of documents with their places, as the rules read them.
 _RULE_WORDS = r"""words AS (
@@ -92,7 +92,51 @@ SELECT s.page_id, payload_bytes, payload_digest, CASE WHEN l.page IS NULL OR l.p
 FROM sized s LEFT JOIN latest l ON s.html = l.html AND s.payload_bytes >= {warc.LEAST_BYTES}"""
 
 
+def _merkle() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen(({value})::VARCHAR)::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(text if name == "text" else name) for name in merkle.FIELDS) + ")"
+
+    lowered = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    # DuckDB has no crc32 of text: eight steps a byte over the decimal id.
+    crc = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+      lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)::UBIGINT[]), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::UBIGINT) ELSE a // 2 END))"""
+    return f"""WITH RECURSIVE leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, {leaf("text")} AS leaf,
+    CASE WHEN xor({crc}, 4294967295::UBIGINT) % 3 = 0 THEN {leaf(lowered)} END AS changed FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+up(tree, level, pos, digest, n) AS (
+  SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // {merkle.ARITY}, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + {merkle.ARITY - 1}) // {merkle.ARITY})
+  FROM up WHERE n > 1 GROUP BY tree, level, pos // {merkle.ARITY}),
+tops(level, pos, digest, n) AS (
+  SELECT 100, tree, digest, count(*) OVER () FROM up WHERE n = 1
+  UNION ALL
+  SELECT level + 1, pos // {merkle.ARITY}, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + {merkle.ARITY - 1}) // {merkle.ARITY})
+  FROM tops WHERE n > 1 GROUP BY level, pos // {merkle.ARITY}),
+nodes AS MATERIALIZED (SELECT tree, level, pos, digest, n FROM up WHERE n > 1 UNION ALL
+  SELECT t.tree, level, pos, digest, n FROM tops, (SELECT DISTINCT tree FROM leaves) t WHERE n > 1),
+paths(row, tree, level, pos, folded, proof) AS (
+  SELECT p.rn, p.tree, CASE WHEN s.n = 1 THEN 100 ELSE 0 END, CASE WHEN s.n = 1 THEN p.tree ELSE p.pos END, coalesce(p.changed, p.leaf), ''
+  FROM (SELECT *, row_number() OVER () AS rn FROM placed) p JOIN (SELECT tree, count(*) AS n FROM placed GROUP BY 1) s USING (tree)
+  UNION ALL
+  SELECT row, p.tree, CASE WHEN any_value(k.n) <= {merkle.ARITY} AND p.level < 100 THEN 100 ELSE p.level + 1 END,
+    CASE WHEN any_value(k.n) <= {merkle.ARITY} AND p.level < 100 THEN p.tree ELSE p.pos // {merkle.ARITY} END,
+    sha256(string_agg(CASE WHEN k.pos = p.pos THEN folded ELSE k.digest END, '' ORDER BY k.pos)),
+    any_value(proof) || coalesce(string_agg(k.digest, '' ORDER BY k.pos) FILTER (k.pos <> p.pos), '')
+  FROM paths p JOIN nodes k ON k.tree = p.tree AND k.level = p.level AND k.pos // {merkle.ARITY} = p.pos // {merkle.ARITY}
+  GROUP BY row, p.tree, p.level, p.pos),
+ends AS (SELECT row, arg_max(folded, level) AS folded_root, sha256(arg_max(proof, level)) AS proof_sha256 FROM paths GROUP BY row)
+SELECT doc_id, leaf, u.digest AS subroot, t.digest AS root, proof_sha256, folded_root, folded_root = t.digest AS verified
+FROM (SELECT *, row_number() OVER () AS rn FROM placed) p JOIN ends ON row = rn
+JOIN (SELECT tree, digest FROM up WHERE n = 1) u USING (tree), (SELECT digest FROM tops WHERE n = 1) t"""
+
+
 WARC_SQL = _warc()
+MERKLE_SQL = _merkle()
 QUALITY_RULES_SQL = _rules()
 DECONTAMINATE_SQL = _decontaminate()
 LINE_DEDUP_SQL = _line_dedup()

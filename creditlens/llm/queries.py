@@ -9,8 +9,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import decontaminate, line_dedup, masked_lm, near_dedup, pieces, pii, quality_classifier, quality_rules, toxicity, warc
-from creditlens.llm.checks import DECONTAMINATE_SQL, LINE_DEDUP_SQL, QUALITY_RULES_SQL, WARC_SQL
+from creditlens.llm import decontaminate, line_dedup, masked_lm, merkle, near_dedup, pieces, pii, quality_classifier, quality_rules, toxicity, warc
+from creditlens.llm.checks import DECONTAMINATE_SQL, LINE_DEDUP_SQL, MERKLE_SQL, QUALITY_RULES_SQL, WARC_SQL
 from creditlens.llm.frames import crc_remainder, read
 
 
@@ -106,6 +106,14 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_no")
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = merkle.manifest(read(spark, folder, "documents"), keep={"changed": merkle.tampered_leaf()})
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("proof"))
+    proof = F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256")
+    rows = rows.select("doc_id", "leaf", "subroot", "root", proof, folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -117,6 +125,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
+    "op11_merkle": op11_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -125,4 +134,5 @@ CHECKS = {
     "op5_benchmark_decontamination": DECONTAMINATE_SQL,
     "op7_line_dedup": LINE_DEDUP_SQL,
     "op10_warc": WARC_SQL,
+    "op11_merkle": MERKLE_SQL,
 }
