@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express, computed another way than in Spark."""
 
-from creditlens.llm import decontaminate, line_dedup, merkle, quality_rules, warc
+from creditlens.llm import codes, decontaminate, line_dedup, merkle, quality_rules, warc
 
 #: Words of documents with their places, as the rules read them.
 _RULE_WORDS = r"""words AS (
@@ -135,7 +135,32 @@ FROM (SELECT *, row_number() OVER () AS rn FROM placed) p JOIN ends ON row = rn
 JOIN (SELECT tree, digest FROM up WHERE n = 1) u USING (tree), (SELECT digest FROM tops WHERE n = 1) t"""
 
 
+def _codes() -> str:
+    parts = f"""WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label,
+  list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (SELECT r, i // w AS part, i % w AS place, v[i + 1] AS x
+  FROM (SELECT r, v, len(v) // {codes.PARTS} AS w, unnest(range(len(v))) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT part, r AS entry, place, x FROM cells WHERE r < {codes.ENTRIES})"""
+    for i in range(codes.ROUNDS + 1):
+        # The least distance, then the least entry, in one number.
+        parts += f""",
+near{i} AS MATERIALIZED (SELECT r, part, min(d * {codes.ENTRIES} + entry) AS best FROM (
+  SELECT r, part, entry, sum((c.x - b.x) * (c.x - b.x)) AS d FROM cells c JOIN book{i} b USING (part, place) GROUP BY ALL) GROUP BY ALL)"""
+        if i < codes.ROUNDS:
+            parts += f""",
+book{i + 1} AS MATERIALIZED (SELECT part, entry, place, coalesce(floor(m.s / m.n)::BIGINT, b.x) AS x FROM book{i} b LEFT JOIN (
+  SELECT part, best % {codes.ENTRIES} AS entry, place, sum(x) AS s, count(*) AS n FROM cells JOIN near{i} USING (r, part) GROUP BY ALL) m USING (part, entry, place))"""
+    last = codes.ROUNDS
+    return f"""{parts},
+coded AS (SELECT r, string_agg(printf('%02x', (best % {codes.ENTRIES})::INTEGER), '' ORDER BY part) AS code, sum(best // {codes.ENTRIES})::BIGINT AS error FROM near{last} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{last}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)"""
+
+
 WARC_SQL = _warc()
+CODES_SQL = _codes()
 MERKLE_SQL = _merkle()
 QUALITY_RULES_SQL = _rules()
 DECONTAMINATE_SQL = _decontaminate()

@@ -9,8 +9,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import decontaminate, line_dedup, masked_lm, merkle, near_dedup, pieces, pii, quality_classifier, quality_rules, toxicity, warc
-from creditlens.llm.checks import DECONTAMINATE_SQL, LINE_DEDUP_SQL, MERKLE_SQL, QUALITY_RULES_SQL, WARC_SQL
+from creditlens.llm import codes, decontaminate, language_id, line_dedup, masked_lm, merkle, near_dedup, pieces, pii, quality_classifier, quality_rules, toxicity, warc
+from creditlens.llm.checks import CODES_SQL, DECONTAMINATE_SQL, LINE_DEDUP_SQL, MERKLE_SQL, QUALITY_RULES_SQL, WARC_SQL
 from creditlens.llm.frames import crc_remainder, read
 
 
@@ -114,6 +114,24 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    model = language_id.fit(documents, crc_remainder("doc_id", 3) != 1)
+    found = language_id.identify(documents, model, ["doc_id"])
+    held_out = (crc_remainder("doc_id", 3) == 1).alias("held_out")
+    score, entropy = F.col("_score").alias("score"), F.col("_entropy").alias("bits_per_unit")
+    return found.select("doc_id", held_out, F.col("_lang").alias("lang_pred"), score, entropy, F.col("_accepted").alias("accepted"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    blocks, books, width = codes.train(read(spark, folder, "embeddings"))
+    coded = codes.with_label_error(codes.encode(blocks, books, width))
+    code = F.lower(F.array_join(F.transform("codes", lambda x: F.lpad(F.hex(x.cast("long")), 2, "0")), ""))
+    return coded.select(
+        F.col("key").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -126,6 +144,8 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
     "op11_merkle": op11_merkle,
+    "op12_language_id": op12_language_id,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -135,4 +155,5 @@ CHECKS = {
     "op7_line_dedup": LINE_DEDUP_SQL,
     "op10_warc": WARC_SQL,
     "op11_merkle": MERKLE_SQL,
+    "op13_vector_codes": CODES_SQL,
 }
