@@ -44,7 +44,7 @@ PARTS = 8
 ENTRIES = 16
 ROUNDS = 6
 BLOCK = 4096
-LEAF = 32
+LEAF = 64
 
 TREE = T.StructType([T.StructField(name, T.BinaryType()) for name in ("order", "links", "pivots", "radii", "sums")])
 
@@ -162,40 +162,53 @@ def build(points: np.ndarray) -> Tree:
     return _Builder(points.astype(np.int64)).tree()
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(lengths.sum())
+
+
 def assign(tree: Tree, points: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Sums and counts by entry, the entry of each point, and how many balls were wholly owned."""
+    """Sums and counts by entry, the entry of each point, and how many balls were wholly owned.
+
+    The tree is walked level by level, all balls of a level at once; a ball's candidates are a row of flags.
+    """
     k = len(book)
     entries = book.astype(np.float64)
     gaps = np.sqrt(((entries[:, None] - entries[None]) ** 2).sum(axis=2))
     sums, counts, codes, owned = np.zeros(book.shape, np.int64), np.zeros(k, np.int64), np.zeros(len(points), np.int64), 0
     # An entry equal to an earlier one never wins.
-    first = np.array([i for i in range(k) if not (book[:i] == book[i]).all(axis=1).any()])
-    stack = [(0, first)]
-    while stack:
-        ball, candidates = stack.pop()
-        start, end, left, right = tree.links[ball]
-        if len(candidates) > 1:
-            away = ((entries[candidates] - tree.pivots[ball]) ** 2).sum(axis=1)
-            best = int(away.argmin())
-            # The ball reaches as far as its radius beyond the plane between two entries.
-            reach = 2 * tree.radii[ball] * gaps[candidates[best], candidates]
-            candidates = candidates[away - away[best] <= reach * (1 + 1e-9) + 1e-9 * away + 1e-3]
-        if len(candidates) == 1:
-            entry = candidates[0]
-            sums[entry] += tree.sums[ball]
-            counts[entry] += end - start
-            codes[tree.order[start:end]] = entry
-            owned += 1
-        elif left >= 0:
-            stack += [(right, candidates), (left, candidates)]
-        else:
-            rows = tree.order[start:end]
-            own = points[rows].astype(np.int64)
-            away = ((own[:, None] - book[candidates][None]) ** 2).sum(axis=2)
-            chosen = candidates[away.argmin(axis=1)]
-            codes[rows] = chosen
-            np.add.at(sums, chosen, own)
-            counts += np.bincount(chosen, minlength=k)
+    equal = (book[:, None] == book[None]).all(axis=2)
+    balls, candidates = np.zeros(1, np.int64), ~np.tril(equal, -1).any(axis=1)[None]
+    leaves: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(balls):
+        start, end, left, right = tree.links[balls].T
+        away = ((tree.pivots[balls][:, None] - entries[None]) ** 2).sum(axis=2)
+        best = np.where(candidates, away, np.inf).argmin(axis=1)
+        least = away[np.arange(len(balls)), best][:, None]
+        # A ball reaches as far as its radius beyond the plane between two entries.
+        reach = 2 * tree.radii[balls][:, None] * gaps[best]
+        candidates = candidates & (away - least <= reach * (1 + 1e-9) + 1e-9 * away + 1e-3)
+        whole = candidates.sum(axis=1) == 1
+        entry, lengths = best[whole], (end - start)[whole].astype(np.int64)
+        np.add.at(sums, entry, tree.sums[balls[whole]])
+        np.add.at(counts, entry, lengths)
+        codes[tree.order[_ranges(start[whole].astype(np.int64), lengths)]] = np.repeat(entry, lengths)
+        owned += int(whole.sum())
+        leaf = ~whole & (left < 0)
+        leaves.append((balls[leaf], candidates[leaf]))
+        inner = ~whole & (left >= 0)
+        balls = np.concatenate([left[inner], right[inner]]).astype(np.int64)
+        candidates = np.concatenate([candidates[inner]] * 2)
+    balls, candidates = np.concatenate([x for x, _ in leaves]), np.concatenate([x for _, x in leaves])
+    start, lengths = tree.links[balls, 0].astype(np.int64), (tree.links[balls, 1] - tree.links[balls, 0]).astype(np.int64)
+    rows = tree.order[_ranges(start, lengths)]
+    own = points[rows].astype(np.int64)
+    away = np.stack([((own - row) ** 2).sum(axis=1) for row in book.astype(np.int64)], axis=1)
+    chosen = np.where(np.repeat(candidates, lengths, axis=0), away, np.iinfo(np.int64).max).argmin(axis=1)
+    codes[rows] = chosen
+    np.add.at(sums, chosen, own)
+    counts += np.bincount(chosen, minlength=k)
     return sums, counts, codes, owned
 
 
