@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditlens.functions import bands
-from creditlens.operators.quantiles import group_medians, quantile_values
+from creditlens.operators.quantiles import filled_medians, group_counts, group_medians, quantile_values
 from creditlens.schemas import COERCIONS, NUMERIC_FEATURES
 from creditlens.session import staged
 
@@ -70,14 +70,25 @@ def cap_amounts(df: DataFrame, method: str = "exact") -> DataFrame:
     return df.withColumns({name: cap(name, limit) for name, limit in amount_caps(df, method).items()})
 
 
+def fill_with_group_medians(df: DataFrame, series: dict[str, tuple[list[Column], str]], medians: DataFrame) -> DataFrame:
+    """Fill nulls with the median of the row's group, for each series of ``group_counts``.
+
+    A row whose group is null has no median to take.
+    """
+    found = df
+    for name, (groups, column) in series.items():
+        own = medians.where(F.col("series") == name).select(F.col("group").alias(f"__{name}"), F.col("median").alias(f"__{name}_median"))
+        key = F.array(*[g.cast("string") for g in groups])
+        # As a column: equality of lists takes nulls inside for equal, and null groups are not among the medians.
+        found = found.withColumn(f"__{name}_key", key).join(own, F.col(f"__{name}_key") == F.col(f"__{name}"), "left")
+    filled = {column: F.coalesce(F.col(column), F.col(f"__{name}_median")) for name, (_, column) in series.items()}
+    return found.withColumns(filled).select(*df.columns)
+
+
 def fill_with_group_median(df: DataFrame, column: str, groups: list[Column]) -> DataFrame:
-    """Fill nulls with the median of the row's group; the medians are one row per group."""
-    keys = [f"__group_{i}" for i in range(len(groups))]
-    medians = group_medians(df, {f"__of_{i}": group for i, group in enumerate(groups)}, column)
-    # Plain equality: a row whose group is null has no median to take.
-    condition = [F.col(f"__group_{i}") == F.col(f"__of_{i}") for i in range(len(groups))]
-    joined = df.withColumns(dict(zip(keys, groups))).join(medians, condition, "left")
-    return joined.withColumn(column, F.coalesce(F.col(column), F.col("median"))).select(*df.columns)
+    """Fill nulls of one column with the median of the row's group; the medians are one row per group."""
+    series = {"own": (groups, column)}
+    return fill_with_group_medians(df, series, group_medians(group_counts(df, series)))
 
 
 def fill_with_median(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -119,11 +130,16 @@ def impute_all_median(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> D
 def clean_job(df: DataFrame, method: str = "exact") -> DataFrame:
     """The ingestion job: employment is capped before it is imputed.
 
-    The de-duplicated feed is written once, since thresholds and medians need
-    passes of their own; those read two columns each.
+    The de-duplicated feed is written once, since caps and medians need passes of their
+    own. Both medians come from one count by group.
     """
     base = floor_amounts(cap_constants(staged(drop_duplicates(df), "deduplicated")))
-    return impute_employment_by_age(impute_rate_by_grade(cap_amounts(base, method)))
+    series = {
+        "rate": ([F.col("loan_grade")], "loan_int_rate"),
+        "employment": ([bands.age_group_open(F.col("person_age"), bands.AGE_RANGES)], "person_emp_length"),
+    }
+    medians = group_medians(group_counts(base, series))
+    return fill_with_group_medians(cap_amounts(base, method), series, medians)
 
 
 def clean_script(df: DataFrame) -> DataFrame:
@@ -137,11 +153,16 @@ def clean_script(df: DataFrame) -> DataFrame:
     cuts = [found["person_income"][p] for p in (0.25, 0.5, 0.75)]
     cuts = [cut if cut is None else min(cut, limits["person_income"]) for cut in cuts]
     quartile = bands.quartile_label(F.col("person_income"), *cuts, bands.QUARTILE_CODES)
-    rated = fill_with_median(fill_with_group_median(capped, "loan_int_rate", [F.col("loan_grade"), quartile]), ["loan_int_rate"])
-    employed = fill_with_group_median(
-        rated, "person_emp_length", [bands.age_group_closed(F.col("person_age"), bands.AGE_RANGES)]
-    )
-    filled = fill_with_median(employed, ["person_emp_length"])
+    series = {
+        "rate": ([F.col("loan_grade"), quartile], "loan_int_rate"),
+        "employment": ([bands.age_group_closed(F.col("person_age"), bands.AGE_RANGES)], "person_emp_length"),
+    }
+    # Medians by group, and those of the columns they have filled, from one count.
+    counts = group_counts(capped, series)
+    medians = group_medians(counts)
+    overall = filled_medians(counts, medians)
+    filled = fill_with_group_medians(capped, series, medians)
+    filled = filled.withColumns({column: F.coalesce(F.col(column), F.lit(overall.get(name))) for name, (_, column) in series.items()})
     return filled.withColumn("person_emp_length", cap("person_emp_length", MAX_EMPLOYMENT))
 
 

@@ -7,7 +7,6 @@ number asks for, so a task orders one slice and the last step one row per slice.
 
 from __future__ import annotations
 
-import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -18,10 +17,8 @@ from creditlens.session import staged
 
 #: Relative rank error of the sketch is one over this.
 ACCURACY = 10000
-#: Distinct values that a slice holds, about; and how many slices a key has at most.
+#: Distinct values that a slice holds, about.
 SLICE_VALUES = 1_000_000
-CUTS = 1024
-STEP = 32
 
 
 def number(name: str) -> Column:
@@ -160,37 +157,62 @@ def quantile_values(
     return {name: {p: found.get((name, p)) for p in ps} for name, ps in wanted.items()}
 
 
-def group_medians(df: DataFrame, groups: dict[str, Column], column: str) -> DataFrame:
-    """Exact median of a column per group, as the group columns and ``median``; a null group has none.
+def group_counts(df: DataFrame, series: dict[str, tuple[list[Column], str]]) -> DataFrame:
+    """Rows (series, group, value, n) of several columns, each by groups of its own, from one pass; stored.
 
-    Values are counted per group, so copies collapse before the shuffle; what is
-    ordered in one task is a slice of a group's distinct values. Counts and medians are
-    written, so that a plan that uses several medians does not grow with each.
+    ``series`` has the group columns and the column counted. A group is a list of texts and null
+    where any of its columns is; values may be null. Copies collapse before the shuffle.
     """
-    keys = list(groups)
-    counts = staged(
-        df.select(*[g.alias(k) for k, g in groups.items()], number(column).alias("value"))
-        .where(F.col("value").isNotNull())
-        .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "group-values",
-    )
-    ranked = with_running_total(counts, keys, "n", fixed=False)
+    cells = []
+    for name, (groups, column) in series.items():
+        keys = [g.cast("string") for g in groups]
+        known = F.lit(True)
+        for key in keys:
+            known = known & key.isNotNull()
+        cells.append(
+            F.struct(F.lit(name).alias("series"), F.when(known, F.array(*keys)).alias("group"), number(column).alias("value"))
+        )
+    counted = df.select(F.inline(F.array(*cells))).groupBy("series", "group", "value").agg(F.count(F.lit(1)).alias("n"))
+    return staged(counted, "group-values")
+
+
+def count_medians(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact median per key of stored counts (keys, value, n); null values have no part."""
+    ranked = with_running_total(counts.where(F.col("value").isNotNull()), keys, "n", fixed=False)
     first, last = F.floor((F.col("n_all") - 1) / 2), F.floor(F.col("n_all") / 2)
     start = F.col("upto") - F.col("n")
     holds = [(start <= rank) & (rank < F.col("upto")) for rank in (first, last)]
-    return staged(
+    return (
         ranked.where(holds[0] | holds[1])
         .groupBy(*keys)
         .agg(*[F.max(F.when(held, F.col("value"))).alias(name) for held, name in zip(holds, ("lower", "upper"))])
-        .select(*keys, ((F.col("lower") + F.col("upper")) / 2).alias("median")),
-        "group-medians",
+        .select(*keys, ((F.col("lower") + F.col("upper")) / 2).alias("median"))
     )
 
 
+def group_medians(counts: DataFrame) -> DataFrame:
+    """Exact median by series and group of ``group_counts``; a null group has none."""
+    return count_medians(counts.where(F.col("group").isNotNull()), ["series", "group"])
+
+
+def filled_medians(counts: DataFrame, medians: DataFrame) -> dict[str, float | None]:
+    """Median of each series after its null values took the median of their group, where that has one."""
+    joined = counts.join(medians, ["series", "group"], "left")
+    filled = joined.groupBy("series", F.coalesce("value", "median").alias("value")).agg(F.sum("n").alias("n"))
+    return {r["series"]: r["median"] for r in count_medians(staged(filled, "filled-values"), ["series"]).collect()}
+
+
 def with_running_total(counts: DataFrame, keys: list[str], measure: str, fixed: bool = True) -> DataFrame:
-    """Add ``upto``, the sum of a measure up to each value of its key, and ``<measure>_all``."""
-    placed = in_ranges(counts, [measure], keys, fixed)
+    """Add ``upto``, the sum of a measure up to each value of its key, and ``<measure>_all``.
+
+    ``counts`` is stored: it is read more than once.
+    """
+    slices = slices_of(counts)
+    if slices == 1:
+        ordered = Window.partitionBy(*keys).orderBy("value")
+        whole = Window.partitionBy(*keys)
+        return counts.withColumns({"upto": F.sum(measure).over(ordered), f"{measure}_all": F.sum(measure).over(whole)})
+    placed = in_ranges(counts, [measure], keys, fixed, slices)
     inside = Window.partitionBy(*keys, "range").orderBy("value")
     before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy(*keys, "range").agg(F.sum(measure).alias("__in"))
@@ -210,45 +232,28 @@ def value_counts(df: DataFrame, columns: list[str], measures: dict[str, Column],
     )
 
 
-@functools.cache
-def _probabilities() -> Column:
-    # As text: a thousand literals one by one would take longer than the query.
-    return F.expr(f"array({', '.join(f'{i / CUTS}D' for i in range(1, CUTS))})")
+def slices_of(counts: DataFrame) -> int:
+    """How many slices stored counts are cut into, so that a task orders about ``SLICE_VALUES`` rows."""
+    return max(1, -(-counts.count() // SLICE_VALUES))
 
 
-def in_ranges(counts: DataFrame, measures: list[str], keys: list[str] = ["column"], fixed: bool = True) -> DataFrame:
+def in_ranges(
+    counts: DataFrame, measures: list[str], keys: list[str] = ["column"], fixed: bool = True, slices: int | None = None
+) -> DataFrame:
     """Add ``range``, an ordered slice of each key's distinct values, and ``<measure>_all``.
 
-    A key gets one slice per ``SLICE_VALUES`` distinct values, rounded up to a power of
-    two. The cut points come from a sketch per key (one small row each), so the
-    slices hold about equally many distinct values whatever their distribution.
-    Results never depend on where the cuts fall. The totals ride along: with
-    them the side reads every column of the counts, and Spark runs the shuffle
-    behind both sides of the join once. ``fixed`` says that the keys are a fixed list of
-    columns, whose bounds are few enough to broadcast.
+    ``counts`` is stored. Rows are dealt by range of (keys, value) into as many slices as their
+    number asks for, with no upper limit, and stored with the number of their slice. Results never depend
+    on where the cuts fall; rows that fit one slice stay where they are. ``fixed`` says that the keys are a fixed
+    list of columns, whose totals are few enough to broadcast.
     """
-    bounds = counts.groupBy(*keys).agg(
-        F.count("value").alias("__distinct"),
-        F.percentile_approx("value", _probabilities(), ACCURACY).alias("__cuts"),
-        *[F.sum(name).alias(f"{name}_all") for name in measures],
-    )
-    slices = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.ceil(F.col("__distinct") / SLICE_VALUES), F.lit(1)))))
-    stride = F.greatest(F.lit(CUTS) / slices, F.lit(1)).cast("int")
-    bounds = bounds.withColumn("__stride", stride).select(
-        *keys,
-        *[f"{name}_all" for name in measures],
-        F.filter("__cuts", lambda cut, i: (i + 1) % F.col("__stride") == 0).alias("__bounds"),
-    )
-    bounds = bounds.withColumn("__coarse", F.filter("__bounds", lambda cut, i: (i + 1) % STEP == 0))
-    placed = counts.join(F.broadcast(bounds) if fixed else bounds, keys)
-
-    def below(cuts: str | Column) -> Column:
-        return F.size(F.filter(cuts, lambda cut: cut < F.col("value")))
-
-    # How many cuts lie below the value: first by every STEP-th cut, then among those between.
-    placed = placed.withColumn("range", below("__coarse") * STEP)
-    fine = F.when(F.size("__bounds") > 0, below(F.slice("__bounds", F.col("range") + 1, STEP - 1))).otherwise(0)
-    return placed.withColumn("range", F.col("range") + fine).drop("__bounds", "__coarse")
+    slices = slices or slices_of(counts)
+    placed = counts.withColumn("range", F.lit(0))
+    if slices > 1:
+        dealt = counts.repartitionByRange(slices, *keys, "value")
+        placed = staged(dealt.withColumn("range", F.spark_partition_id()), "slices")
+    totals = placed.groupBy(*keys).agg(*[F.sum(name).alias(f"{name}_all") for name in measures])
+    return placed.join(F.broadcast(totals) if fixed else totals, keys)
 
 
 def largest_gap(counts: DataFrame, left: str, right: str) -> DataFrame:
@@ -263,7 +268,7 @@ def largest_gap(counts: DataFrame, left: str, right: str) -> DataFrame:
     inside = Window.partitionBy("column", "range").orderBy("value")
     gap = F.sum(left).over(inside) / F.col(left_all) - F.sum(right).over(inside) / F.col(right_all)
     slices = (
-        in_ranges(counts, [left, right])
+        in_ranges(staged(counts, "value-counts"), [left, right])
         .withColumn("gap", gap)
         .groupBy("column", "range", F.col(left_all).alias("left_all"), F.col(right_all).alias("right_all"))
         .agg(
@@ -304,7 +309,7 @@ def area_under_roc(df: DataFrame, score: str, label: str) -> DataFrame:
     inside = Window.partitionBy("column", "range").orderBy("value")
     below = F.sum("neg").over(inside) - F.col("neg")
     slices = (
-        in_ranges(counts, ["pos", "neg"])
+        in_ranges(staged(counts, "value-counts"), ["pos", "neg"])
         .withColumn("pairs", F.col("pos") * (below + F.col("neg") / F.lit(2.0)))
         .groupBy("column", "range")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("pairs").alias("pairs"))
