@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from creditlens.operators import profiling as ops
+from creditlens.operators import normal, profiling as ops
 from creditlens.plans.fixtures import CLEAN_COLUMNS, Tables
 from creditlens.plans.quality import TEXTS, WIDTH, MISSING_SUM, kind_of
 from creditlens.plans.registry import query
@@ -239,6 +239,32 @@ def profile_normality(t: Tables):
     return rounded(rounded(ops.normality(t.feed), "statistic", digits=4), "p_value")
 
 
+def _poly_sql(values: list[float], x: str) -> str:
+    return " + ".join(f"({v!r}::DOUBLE) * power({x}, {k})" for k, v in enumerate(values))
+
+
+@query(
+    "profile_shapiro",
+    uses=("feed",),
+    sql=f""", cells AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, {c}::DOUBLE AS x FROM feed WHERE {c} IS NOT NULL" for c in NUMERIC_FEATURES)}),
+ranked AS (SELECT column_name, x - avg(x) OVER w AS x, row_number() OVER (PARTITION BY column_name ORDER BY x) AS i, count(*) OVER w AS n
+  FROM cells WINDOW w AS (PARTITION BY column_name)),
+shares AS (SELECT *, (i - 0.375::DOUBLE) / (n + 0.25::DOUBLE) AS p FROM ranked),
+parts AS (SELECT *, p - 0.5::DOUBLE AS q, 0.180625::DOUBLE - (p - 0.5::DOUBLE) * (p - 0.5::DOUBLE) AS m, sqrt(-ln(least(p, 1 - p))) AS d FROM shares),
+scored AS (SELECT *, CASE WHEN abs(q) <= 0.425::DOUBLE THEN q * {normal._ratio(normal.MIDDLE, "m")}
+  ELSE sign(q) * CASE WHEN d <= 5 THEN {normal._ratio(normal.SHOULDER, "(d - 1.6::DOUBLE)")} ELSE {normal._ratio(normal.TAIL, "(d - 5::DOUBLE)")} END END AS z FROM parts),
+ends AS (SELECT column_name, n, sum(z * z) AS squares, max(z) AS top, max(z) FILTER (i = n - 1) AS second FROM scored GROUP BY ALL),
+weighed AS (SELECT *, {_poly_sql(normal.LAST_WEIGHT, "(1 / sqrt(n))")} + top / sqrt(squares) AS a1, {_poly_sql(normal.NEXT_WEIGHT, "(1 / sqrt(n))")} + second / sqrt(squares) AS a2 FROM ends),
+rest AS (SELECT *, sqrt((squares - 2 * top * top - 2 * second * second) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) AS r FROM weighed),
+tested AS (SELECT s.column_name, s.n, power(sum(x * CASE WHEN i = s.n THEN a1 WHEN i = 1 THEN -a1 WHEN i = s.n - 1 THEN a2 WHEN i = 2 THEN -a2 ELSE z / r END), 2) / sum(x * x) AS w
+  FROM scored s JOIN rest USING (column_name) GROUP BY ALL)
+SELECT column_name, n, round(w, 6) AS statistic,
+  (ln(1 - w) - ({_poly_sql(normal.LARGE_MEAN, "ln(n)")})) / exp({_poly_sql(normal.LARGE_SPREAD, "ln(n)")}) < 1.6448536269514722::DOUBLE AS normal FROM tested""",
+)
+def profile_shapiro(t: Tables):
+    return rounded(normal.shapiro(t.feed), "statistic").drop("p_value")
+
+
 @query(
     "profile_summary",
     uses=("feed_dup",),

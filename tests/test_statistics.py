@@ -164,7 +164,8 @@ def test_quantiles_of_distinct_doubles_over_many_slices(spark, narrow_slices):
     wanted = [0.0, 0.13, 0.5, 0.999, 1.0]
     found = quantiles.quantile_values(frame, {"x": wanted})["x"]
     assert [found[p] for p in wanted] == pytest.approx([float(np.quantile(values, p)) for p in wanted])
-    medians = {r["g"]: r["median"] for r in quantiles.group_medians(frame, {"g": F.col("g")}, "x").collect()}
+    counts = quantiles.group_counts(frame, {"x": ([F.col("g")], "x")})
+    medians = {int(r["group"][0]): r["median"] for r in quantiles.group_medians(counts).collect()}
     assert set(medians) == {0, 1, 2}
     for group in medians:
         own = [v for i, v in enumerate(values) if (i % 3 if i % 5 else None) == group]
@@ -174,6 +175,20 @@ def test_quantiles_of_distinct_doubles_over_many_slices(spark, narrow_slices):
     assert len(sizes) > 60 and max(sizes) <= 60
 
 
+def test_medians_after_filling(spark):
+    rows = [("a", 1.0, None), ("a", 3.0, 2.0), ("a", None, None), (None, None, 8.0), (None, 9.0, 4.0), ("b", None, 4.0)]
+    frame = spark.createDataFrame(rows, "g string, x double, y double")
+    counts = quantiles.group_counts(frame, {"x": ([F.col("g")], "x"), "y": ([F.col("g"), F.col("x").isNull()], "y")})
+    medians = quantiles.group_medians(counts)
+    assert {(r["series"], tuple(r["group"])): r["median"] for r in medians.collect()} == {
+        ("x", ("a",)): 2.0,
+        ("y", ("a", "false")): 2.0,
+        ("y", ("b", "true")): 4.0,
+    }
+    # x becomes 1, 3, 2, null, 9, null; y becomes 2, 2, null, 8, 4, 4.
+    assert quantiles.filled_medians(counts, medians) == {"x": 2.5, "y": 4.0}
+
+
 def test_area_and_gap_over_many_slices(spark, narrow_slices):
     rows = [(i, ((i * 37) % 500) / 500, int((i * 53) % 500 > (i * 37) % 500)) for i in range(500)]
     frame = spark.createDataFrame(rows, "id int, score double, label int")
@@ -209,3 +224,92 @@ def test_every_level_is_encoded(spark):
     assert len(levels["c"]) == 500 and len(features.dummies(frame, levels, False).columns) == 500
     (indexer,) = features.indexers(frame, ["c"])
     assert len(indexer.labels) == 500
+
+
+def exact_tail(statistic, df):
+    """The chi-square tail by sums of exact terms; df even."""
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 50
+    x, total, term = Decimal(statistic) / 2, Decimal(0), Decimal(1)
+    for k in range(df // 2):
+        total += term
+        term = term * x / (k + 1)
+    return float(total * (-x).exp())
+
+
+def test_chi_square_tail_to_ten_digits_at_any_size(spark):
+    rows = [(df * f, df) for df in (2, 4, 10, 100, 1000, 20_000) for f in (0.01, 0.5, 0.9, 1.0, 1.1, 2.0, 5.0)]
+    frame = spark.createDataFrame(rows + [(1e6 + 1500.0, 10**6), (1.0, 10**6)], "s double, df int")
+    found = [r["p"] for r in frame.select(chi_square_p_value(F.col("s"), F.col("df")).alias("p")).collect()]
+    for (s, df), p in zip(rows, found):
+        assert p == pytest.approx(exact_tail(s, df), rel=1e-10, abs=1e-300)
+    # Half degrees, by the error function; and the normal limit far out.
+    halves = spark.createDataFrame([(v, 1) for v in (1e-6, 0.3, 1.0, 4.0, 60.0, 900.0)], "s double, df int")
+    for r in halves.select("s", chi_square_p_value(F.col("s"), F.col("df")).alias("p")).collect():
+        assert r["p"] == pytest.approx(math.erfc(math.sqrt(r["s"] / 2)), rel=1e-9)
+    assert found[-2] == pytest.approx(0.5 * math.erfc(1500 / math.sqrt(2e6) / math.sqrt(2)), abs=1e-3) and found[-1] == 1.0
+
+
+# Shapiro-Wilk
+
+WEIGHTS_GIVEN = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]
+
+
+def plain_shapiro(values):
+    from statistics import NormalDist
+
+    from creditlens.operators import normal
+
+    x, n = np.sort(np.asarray(values, float)), len(values)
+    score = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    squares, u = math.fsum(s * s for s in score), 1 / math.sqrt(n)
+    last = normal._poly(normal.LAST_WEIGHT, u) + score[-1] / math.sqrt(squares)
+    second = normal._poly(normal.NEXT_WEIGHT, u) + score[-2] / math.sqrt(squares)
+    rest = (squares - 2 * score[-1] ** 2 - 2 * score[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
+    a = [-last, -second, *[s / math.sqrt(rest) for s in score[2:-2]], second, last]
+    return math.fsum(w * v for w, v in zip(a, x)) ** 2 / math.fsum((x - x.mean()) ** 2)
+
+
+def test_shapiro_of_a_published_example(spark):
+    from creditlens.operators.normal import shapiro
+
+    row = shapiro(frame_of(spark, WEIGHTS_GIVEN), ["x"]).first()
+    assert row["statistic"] == pytest.approx(0.79, abs=0.005) and row["p_value"] == pytest.approx(0.0067, abs=0.0005) and not row["normal"]
+
+
+@pytest.mark.parametrize("kind", ["normal", "uniform", "ties", "hot", "few"])
+def test_shapiro_equals_a_plain_computation(spark, monkeypatch, kind):
+    from creditlens.operators import normal
+
+    rng = np.random.default_rng(11)
+    values = {
+        "normal": rng.normal(50_000, 9_000, 6000),
+        "uniform": rng.uniform(0, 1, 3000),
+        "ties": np.round(rng.normal(0, 3, 9000)),
+        "hot": np.concatenate([np.full(4000, 0.25), rng.normal(0, 1, 6000)]),
+        "few": rng.normal(0, 1, 9),
+    }[kind]
+    row = normal.shapiro(frame_of(spark, values), ["x"]).first()
+    assert row["n"] == len(values) and row["statistic"] == pytest.approx(plain_shapiro(values), abs=1e-9)
+    monkeypatch.setattr(quantiles, "SLICE_VALUES", 500)
+    assert normal.shapiro(frame_of(spark, values), ["x"]).first()["statistic"] == pytest.approx(row["statistic"], abs=1e-12)
+
+
+def test_shapiro_edges(spark):
+    from creditlens.operators.normal import shapiro
+
+    frame = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, None), (4.0, 5.0, float("nan")), (None, 5.0, 1.0)], "a double, b double, c double")
+    rows = {r["column_name"]: r for r in shapiro(frame, ["a", "b", "c"]).collect()}
+    assert rows["a"]["statistic"] == pytest.approx(0.9643, abs=1e-4) and rows["a"]["p_value"] == pytest.approx(0.6369, abs=1e-4)
+    assert rows["b"]["statistic"] is None and rows["c"]["n"] == 1 and rows["c"]["p_value"] is None
+
+
+def test_normal_quantile_in_sql(spark):
+    from statistics import NormalDist
+
+    from creditlens.operators.normal import quantiles_sql
+
+    points = [1e-300, 1e-20, 1e-9, 1e-4, 0.01, 0.0749, 0.0751, 0.3, 0.5, 0.77, 0.93, 0.999, 1 - 1e-12]
+    found = spark.createDataFrame([(points,)], "p array<double>").select(F.expr(quantiles_sql("p")).alias("z")).first()["z"]
+    assert found == pytest.approx([NormalDist().inv_cdf(p) for p in points], rel=1e-12, abs=1e-15)
