@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,28 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = run_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Applications whose executors have the package.
+SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; functions reach them by name.
+
+    Not needed where the package is installed on every machine.
+    """
+    key = spark.sparkContext.applicationId
+    if key in SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # Read on the driver alone: Spark's own file service hands it to the executors.
+    archive = os.path.join(tempfile.mkdtemp(prefix="creditlens-"), "creditlens.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    SHIPPED.add(key)
