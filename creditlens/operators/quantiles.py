@@ -35,109 +35,92 @@ def unpivoted(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFr
     return df.select(*keep, F.inline(pairs)).where(F.col("value").isNotNull())
 
 
+def _literal(value: float) -> str:
+    return f"CAST('{value!r}' AS double)"
+
+
+def _brackets(cuts: list[float]) -> list[tuple[float, float]]:
+    """Disjoint ranges of values from pairs of edges, in order."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(zip(cuts[::2], cuts[1::2])):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
-    """Interpolated quantiles as rows (column, probability, quantile).
-
-    Two scans, both run here. The first sketches each column and brackets every wanted
-    rank; the driver gets one row of cut points. The second counts: a value
-    outside all brackets only adds to a counter for its gap, so what is shuffled
-    and ordered is the values inside the brackets (about six in ten thousand rows
-    per quantile, fewer where values repeat). The ranks are then exact; should a
-    sketch break its promise the query fails instead of giving a near value.
+    """Interpolated quantiles as rows (column, probability, quantile)."""
+    return df.sparkSession.createDataFrame(_exact(df, wanted), "column string, probability double, quantile double")
+
+
+def _exact(df: DataFrame, wanted: dict[str, list[float]]) -> list[tuple[str, float, float]]:
+    """Interpolated quantiles as (column, probability, quantile).
+
+    Three scans, all run here. The first sketches each column and brackets every wanted rank. The
+    second counts the values below each bracket. The third shuffles and orders the
+    values inside the brackets alone (about six in ten thousand rows per quantile, fewer where
+    values repeat). The driver gets a few numbers per bracket. The ranks are then exact;
+    should a sketch break its promise the query fails instead of giving a near value.
     """
     columns = list(wanted)
     margin = 3.0 / ACCURACY
     asked = {name: sorted(set(wanted[name])) for name in columns}
-
-    def edges(name: str) -> list[float]:
-        return [edge for p in asked[name] for edge in (max(0.0, p - margin), min(1.0, p + margin))]
-
-    source = df.select(*[number(name).alias(name) for name in columns])
-    sketches = source.agg(
-        *[F.count(name).alias(f"{name}#n") for name in columns],
-        *[
-            F.percentile_approx(name, F.array(*[F.lit(edge) for edge in edges(name)]), ACCURACY).alias(f"{name}#cuts")
-            for name in columns
-        ],
-    ).first()
-
-    def zoned(name: str) -> Column:
-        """The value's place among the brackets, and the value itself when inside one."""
-        cuts = sketches[f"{name}#cuts"] or [0.0] * (2 * len(asked[name]))
-        value = F.col(name)
-        zone, inside = F.lit(0), F.lit(False)
-        for low, high in zip(cuts[::2], cuts[1::2]):
-            zone = zone + F.when(value >= low, 1).otherwise(0) + F.when(value > high, 1).otherwise(0)
-            inside = inside | value.between(low, high)
-        return F.struct(
-            F.lit(name).alias("column"), zone.alias("zone"), F.when(inside, value).alias("key"), value.alias("value")
-        )
-
-    counted = staged(
-        source.select(F.inline(F.array(*[zoned(name) for name in columns])))
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "zone", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")),
-        "bracketed",
-    )
-    # Totals by zone, a few per column, then places inside a bracket by slices.
-    zones = counted.groupBy("column", "zone").agg(F.sum("n").alias("zone_n"))
-    zones = zones.withColumn("zone_start", F.sum("zone_n").over(Window.partitionBy("column").orderBy("zone")) - F.col("zone_n"))
-    inside = counted.where(F.col("key").isNotNull()).select("column", "zone", F.col("key").alias("value"), "n")
-    placed = with_running_total(inside, ["column", "zone"], "n").select(
-        "column", "zone", F.col("value").alias("key"), "n", F.col("value").alias("low"), F.col("value").alias("high"), "upto"
-    )
-    outside = counted.where(F.col("key").isNull()).withColumn("upto", F.col("n"))
-    # One row per column and zone of a fixed list, so this side stays small.
-    ranked = (
-        placed.unionByName(outside)
-        .join(F.broadcast(zones), ["column", "zone"])
-        .withColumn("upto", F.col("upto") + F.col("zone_start"))
-    )
-
-    def targets(name: str) -> list[Column]:
-        rows = []
-        for p in asked[name]:
-            position = p * max(sketches[f"{name}#n"] - 1, 0)
-            rows.append(
-                F.struct(
-                    F.lit(p).alias("probability"),
-                    F.lit(position).alias("position"),
-                    F.lit(math.floor(position)).cast("bigint").alias("below"),
-                    F.lit(math.ceil(position)).cast("bigint").alias("above"),
-                )
-            )
-        return rows
-
-    by_column = F.create_map(
-        *[part for name in columns for part in (F.lit(name), F.array(*targets(name)))]
-    )
-    first = F.col("upto") - F.col("n")
-
-    def value_at(rank: Column) -> Column:
-        exact = (
-            F.when(F.col("key").isNotNull(), F.col("key"))
-            .when(rank == first, F.col("low"))
-            .when(rank == F.col("upto") - 1, F.col("high"))
-            .otherwise(F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
-        )
-        return F.when((first <= rank) & (rank < F.col("upto")), exact)
-
-    answered = (
-        ranked.select("*", F.inline(by_column[F.col("column")]))
-        .where((first <= F.col("above")) & (F.col("below") < F.col("upto")))
-        .groupBy("column", "probability")
-        .agg(
-            F.max(value_at(F.col("below"))).alias("lower"),
-            F.max(value_at(F.col("above"))).alias("upper"),
-            F.max(F.col("position") - F.col("below")).alias("share"),
+    # Expressions as text: built one by one they would take longer than the query.
+    source = df.select(*[number(name).alias(f"c{i}") for i, name in enumerate(columns)])
+    sketched = []
+    for i, name in enumerate(columns):
+        edges = ", ".join(f"{edge!r}D" for p in asked[name] for edge in (max(0.0, p - margin), min(1.0, p + margin)))
+        sketched += [f"count(c{i}) AS n{i}", f"percentile_approx(c{i}, array({edges}), {ACCURACY}) AS cuts{i}"]
+    sketch = source.selectExpr(*sketched).first()
+    parts = [(i, low, high) for i in range(len(columns)) for low, high in _brackets(sketch[f"cuts{i}"] or [])]
+    found: list[tuple[str, float, float]] = []
+    if parts:
+        around = source.selectExpr(
+            *[
+                f"struct(count_if(c{i} < {_literal(low)}) AS n, max(CASE WHEN c{i} < {_literal(low)} THEN c{i} END) AS before, "
+                f"min(CASE WHEN c{i} > {_literal(high)} THEN c{i} END) AS after) AS p{k}"
+                for k, (i, low, high) in enumerate(parts)
+            ]
+        ).first()
+        inside = [f"c{i} BETWEEN {_literal(low)} AND {_literal(high)}" for i, low, high in parts]
+        cells = ", ".join(f"CASE WHEN {test} THEN struct({k} AS part, c{parts[k][0]} AS value) END" for k, test in enumerate(inside))
+        held = (
+            source.where(" OR ".join(inside))
+            .selectExpr(f"inline(filter(array({cells}), x -> x IS NOT NULL))")
+            .groupBy("part", "value")
+            .agg(F.count(F.lit(1)).alias("n"))
         )
-    )
-    return answered.select(
-        "column",
-        "probability",
-        (F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("share")).alias("quantile"),
-    )
+        ranked = with_running_total(staged(held, "bracketed"), ["part"], "n", fixed=True)
+        # Wanted ranks, counted from the start of the bracket that their probability is in.
+        positions, ranks = [], {k: set() for k in range(len(parts))}
+        for i, name in enumerate(columns):
+            n, cuts = sketch[f"n{i}"], sketch[f"cuts{i}"] or []
+            for p, low in zip(asked[name], cuts[::2]):
+                k = next(k for k, (j, a, b) in enumerate(parts) if j == i and a <= low <= b)
+                position = p * max(n - 1, 0)
+                below, above = math.floor(position) - around[f"p{k}"]["n"], math.ceil(position) - around[f"p{k}"]["n"]
+                positions.append((name, p, k, below, above, position - math.floor(position)))
+                ranks[k] |= {below, above}
+        lists = ", ".join(f"{k}, array({', '.join(f'{r}L' for r in sorted(own))})" for k, own in ranks.items())
+        first = "upto - n"
+        rows = ranked.where(f"exists(element_at(map({lists}), part), r -> {first} <= r AND r < upto)").collect()
+        sizes = {r["part"]: r["n_all"] for r in rows}
+
+        def value_at(k: int, rank: int) -> float:
+            for r in rows:
+                if r["part"] == k and r["upto"] - r["n"] <= rank < r["upto"]:
+                    return r["value"]
+            edge = around[f"p{k}"]["before"] if rank == -1 else around[f"p{k}"]["after"] if rank == sizes.get(k) else None
+            if edge is None:
+                raise ValueError("quantile rank outside its bracket")
+            return edge
+
+        for name, p, k, below, above, share in positions:
+            lower, upper = value_at(k, below), value_at(k, above)
+            found.append((name, p, lower + (upper - lower) * share if upper != lower else lower))
+    return found
 
 
 def quantile_values(
@@ -153,7 +136,7 @@ def quantile_values(
             *[F.percentile_approx(number(name), F.array(*[F.lit(p) for p in ps]), ACCURACY).alias(name) for name, ps in wanted.items()]
         ).first()
         return {name: dict(zip(ps, row[name] or [None] * len(ps))) for name, ps in wanted.items()}
-    found = {(r["column"], r["probability"]): r["quantile"] for r in exact_quantiles(df, wanted).collect()}
+    found = {(name, p): value for name, p, value in _exact(df, wanted)}
     return {name: {p: found.get((name, p)) for p in ps} for name, ps in wanted.items()}
 
 
