@@ -11,8 +11,10 @@ most, so the automaton only walks runs of known pairs that are long enough to ho
 window. A table of pair hashes finds these runs for a whole chunk of texts; being too
 generous is harmless, since the automaton compares the words themselves.
 
-The automaton holds at most ``SHARD_WORDS`` item words; more items make several
-automata, each applied to all documents in turn.
+An automaton holds about ``SHARD_WORDS`` item words; more items make several, built in
+tasks, each applied to all documents in turn. Spans of all of them are cut together from
+the text as given, and touched texts are matched again with all until none is found, so
+results are the same for every number of automata.
 
 Defined results: null or wordless texts have no hits; null or wordless items have no
 window; items without an id are left out; items that repeat an id count once; each
@@ -21,6 +23,7 @@ document row is judged by itself.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -30,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from creditlens.llm import text as tx
 from creditlens.session import staged
@@ -43,6 +47,7 @@ SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 INFO = "_leak"
+NOW = "_leak_now"
 
 
 def words_of(value: str | None) -> list[bytes]:
@@ -220,19 +225,46 @@ def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans]
 
 
-def automata(items: DataFrame, window: int = WINDOW, most: int = SHARD_WORDS) -> Iterator[SuffixAutomaton]:
-    """Automata over all items, each of at most ``most`` words (or one longer item)."""
-    held: list[tuple[int, list[bytes]]] = []
-    size = 0
-    rows = items.where("item_id IS NOT NULL").select("item_id", "text").orderBy("item_id", "text")
-    for row in rows.toLocalIterator():
-        words = words_of(row["text"])
-        if held and size + len(words) > most:
-            yield SuffixAutomaton.build(held, window)
-            held, size = [], 0
-        held.append((row["item_id"], words))
-        size += len(words)
-    yield SuffixAutomaton.build(held, window)
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+class Automata:
+    """Automata over all items, each of about ``most`` words, built in tasks and stored."""
+
+    def __init__(self, items: DataFrame, window: int = WINDOW, most: int = SHARD_WORDS):
+        self.window = window
+        known = items.where("item_id IS NOT NULL").select("item_id", "text").distinct()
+        total = known.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
+        self.count = max(1, -(-total // most))
+        self.kind = known.schema["item_id"].dataType
+
+        def build(table: pa.Table) -> pa.Table:
+            rows = sorted(zip(table["item_id"].to_pylist(), table["text"].to_pylist()), key=lambda r: (r[0], r[1] or ""))
+            made = SuffixAutomaton.build([(item, words_of(text)) for item, text in rows], window)
+            return pa.table({"shard": pa.array([table["shard"][0].as_py()], pa.int32()), "automaton": pa.array([pickle.dumps(made)], pa.binary())})
+
+        dealt = known.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(self.count)).cast("int"))
+        self.stored = staged(dealt.groupBy("shard").applyInArrow(build, "shard int, automaton binary"), "automata")
+
+    def __iter__(self) -> Iterator[SuffixAutomaton]:
+        """One after another, so that the driver and a task hold one at a time."""
+        found = False
+        for shard in range(self.count):
+            row = self.stored.where(F.col("shard") == shard).select("automaton").first()
+            if row is not None:
+                found = True
+                yield pickle.loads(row["automaton"])
+        if not found:
+            yield SuffixAutomaton.build([], self.window)
+
+
+def _without(body: bytes, words: tx.Words, spans: list[tuple[int, int]]) -> bytes:
+    """The bytes without runs of words, given by their numbers in order."""
+    kept, at = [], 0
+    for a, b in spans:
+        kept.append(body[at : words.start[a]])
+        at = words.end[b - 1]
+    return b"".join([*kept, body[at:]])
 
 
 def without_hits(value: str, automaton: SuffixAutomaton) -> str:
@@ -245,20 +277,18 @@ def without_hits(value: str, automaton: SuffixAutomaton) -> str:
         spans = _merged(found[0][0]) if 0 in found else []
         if not spans:
             return body.decode("utf-8", "surrogatepass")
-        kept, at = [], 0
-        for a, b in spans:
-            kept.append(body[at : words.start[a]])
-            at = words.end[b - 1]
-        body = b"".join([*kept, body[at:]])
+        body = _without(body, words, spans)
 
 
 SPAN = "array<struct<first: long, end: long>>"
 
 
 def _scanned(frame: DataFrame, keep: list[str], automaton: SuffixAutomaton, clean: bool, schema: T.StructType) -> DataFrame:
+    """The columns ``keep``, which stand first, and what the next column, a text, holds besides what the last says already."""
     spark = frame.sparkSession
     shared = spark.sparkContext.broadcast(automaton)
-    width = len(keep)
+    width, name = len(keep), schema.names[-1]
+    kind = to_arrow_type(schema[-1].dataType["items"].dataType)
 
     def find(parts):
         own, inside = shared.value, tx.table(SEPARATORS)
@@ -295,32 +325,28 @@ def _scanned(frame: DataFrame, keep: list[str], automaton: SuffixAutomaton, clea
                     pa.array(n_words, pa.int64()),
                     pa.array(n_hit, pa.int64()),
                     pa.array(longest, pa.int64()),
-                    pa.array(items, pa.list_(pa.int64())),
+                    pa.array(items, kind),
                     pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
                 ],
                 names=["n_words", "n_hit", "longest", "items", "spans"],
             )
-            yield pa.RecordBatch.from_arrays([*columns, info], names=[*keep, INFO])
+            yield pa.RecordBatch.from_arrays([*columns, info], names=[*keep, name])
 
     return frame.mapInArrow(find, schema)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, keep: list[str], window: int = WINDOW, clean: bool = False, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The columns ``keep`` of every document and a struct of its matches.
-
-    The struct has n_words, n_hit, longest match, sorted item ids and spans of hit words
-    (first and end as word numbers). With ``clean`` the kept text has lost its spans.
-    """
-    kind = T.StructType.fromDDL(f"n_words long, n_hit long, longest long, items array<long>, spans {SPAN}")
-    result = docs.select(*docs.columns, F.col("text").alias("_leak_text"), F.lit(None).cast(kind).alias(INFO))
-    made = automata(items, window, shard_words)
+def _matched(docs: DataFrame, keep: list[str], automata: Automata, clean: bool, name: str) -> DataFrame:
+    """The columns ``keep`` and a struct ``name`` of the matches of ``text`` in all automata."""
+    kind = T.StructType.fromDDL(f"n_words long, n_hit long, longest long, items array<{automata.kind.simpleString()}>, spans {SPAN}")
+    result = docs.select(*docs.columns, F.col("text").alias("_leak_text"), F.lit(None).cast(kind).alias(name))
+    made = iter(automata)
     automaton = next(made)
     while automaton is not None:
         following = next(made, None)
         # Between automata the text as given is carried along, so that word numbers stay the same.
         columns = list(keep) if following is None else [*docs.columns, "_leak_text"]
-        source = result.select(*columns, F.col("_leak_text").alias("_leak_scanned"), INFO)
-        schema = T.StructType([*result.select(*columns).schema.fields, T.StructField(INFO, kind)])
+        source = result.select(*columns, F.col("_leak_text").alias("_leak_scanned"), name)
+        schema = T.StructType([*result.select(*columns).schema.fields, T.StructField(name, kind)])
         result = _scanned(source, columns, automaton, clean, schema)
         if following is not None:
             result = staged(result, "leak-shard")
@@ -328,9 +354,59 @@ def find_leaks(docs: DataFrame, items: DataFrame, keep: list[str], window: int =
     return result
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, most_covered: float = MOST_COVERED) -> DataFrame:
+def _cut(frame: DataFrame, name: str) -> DataFrame:
+    """``text`` without the spans that ``name`` holds."""
+
+    def run(batches):
+        inside = tx.table(SEPARATORS)
+        for batch in batches:
+            at, info = batch.schema.names.index("text"), batch.column(batch.schema.names.index(name)).to_pylist()
+            values = batch.column(at).to_pylist()
+            for row, held in enumerate(info):
+                if held["spans"]:
+                    body = values[row].encode("utf-8", "surrogatepass")
+                    data = LOWERED[np.frombuffer(body, np.uint8)]
+                    words = tx.find_words(tx.Chunk(0, 1, data, np.array([0, len(data)])), inside)
+                    values[row] = _without(body, words, [(x["first"], x["end"]) for x in held["spans"]]).decode("utf-8", "surrogatepass")
+            columns = list(batch.columns)
+            columns[at] = pa.array(values, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return frame.mapInArrow(run, frame.schema)
+
+
+def _cleaned(found: DataFrame, automata: Automata) -> DataFrame:
+    """Texts cut by the spans of all automata at once, and again until no automaton finds any.
+
+    As with a single automaton, what is cut does not depend on how items are dealt.
+    """
+    touched = F.size(f"{NOW}.spans") > 0
+    now = staged(found.withColumn(NOW, F.col(INFO)), "leaks")
+    ready = now.where(~touched).drop(NOW)
+    while not (open_ := now.where(touched)).isEmpty():
+        cut = staged(_cut(open_, NOW).drop(NOW), "leaks-cut")
+        now = staged(_matched(cut, cut.columns, automata, False, NOW), "leaks")
+        ready = ready.unionByName(now.where(~touched).drop(NOW))
+    return ready
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, keep: list[str], window: int = WINDOW, clean: bool = False, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """The columns ``keep`` of every document and a struct of its matches.
+
+    The struct has n_words, n_hit, longest match, sorted item ids and spans of hit words
+    (first and end as word numbers). With ``clean`` the kept text has lost its spans.
+    """
+    automata = Automata(items, window, shard_words)
+    # A single automaton cuts in the same pass.
+    found = _matched(docs, keep, automata, clean and automata.count == 1, INFO)
+    return _cleaned(found, automata) if clean and automata.count > 1 else found
+
+
+def decontaminate(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, most_covered: float = MOST_COVERED, shard_words: int = SHARD_WORDS
+) -> DataFrame:
     """Documents without benchmark spans; those that are mostly benchmark go whole."""
-    cleaned = find_leaks(docs, items, docs.columns, window, clean=True)
+    cleaned = find_leaks(docs, items, docs.columns, window, clean=True, shard_words=shard_words)
     covered = F.col(f"{INFO}.n_hit") > most_covered * F.col(f"{INFO}.n_words")
     return cleaned.where(~covered).select(*docs.columns)
 

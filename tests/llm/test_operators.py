@@ -361,6 +361,28 @@ def test_cleaning(spark, odd, none):
     assert decontaminate.decontaminate(odd, items.limit(0)).count() == odd.count()
 
 
+def test_cleaning_is_the_same_for_every_number_of_automata(spark):
+    rng = random.Random(9)
+    # Cutting one item joins another; items overlap; ids are texts.
+    items = [("q2", "a b c d"), ("q10", "p q r s"), ("q1", "c d e f"), ("q3", None), (None, "x y z u"), ("q2", "a b c d")]
+    items += [(f"r{i}", " ".join(rng.choice("abcdefpqrs") for _ in range(rng.randrange(1, 9)))) for i in range(40)]
+    docs = [(0, "one a b p q r s c d two"), (1, "a b c d e f"), (2, "x y z u"), (3, None), (4, ""), (0, "a b p q r s c d")]
+    docs += [(i, " ".join(rng.choice("abcdefpqrstuvwxyz") for _ in range(80))) for i in range(5, 60)]
+    left = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    right = spark.createDataFrame(items, "item_id string, text string")
+    plain = [(i, decontaminate.words_of(t)) for i, t in items if i is not None]
+    several = {}
+    for shard in (10**6, 40):
+        several[shard] = sorted(decontaminate.decontaminate(left, right, 4, 2.0, shard).collect(), key=str)
+        assert all(not plain_hits(decontaminate.words_of(r["text"]), plain, 4)[0] for r in several[shard])
+    assert several[10**6] == several[40] and len(several[40]) == len(docs)
+    # Some fifty automata.
+    assert decontaminate.Automata(right, 4, 4).count >= 40
+    for row in decontaminate.find_leaks(left, right, ["doc_id", "text"], 4, shard_words=4).collect():
+        covered, names = plain_hits(decontaminate.words_of(row["text"]), plain, 4)
+        assert row[decontaminate.INFO]["n_hit"] == len(covered) and row[decontaminate.INFO]["items"] == sorted(names)
+
+
 # 6 Pieces
 
 
