@@ -10,10 +10,8 @@ so a lost task gives the same pieces again.
 A unit is a run of blanks and what follows up to the next blank; line breaks stand
 alone. No piece of the vocabulary crosses these bounds (checked when it is read), so
 units are encoded apart. Every occurrence of a unit skips by a key of its own, a hash of
-seed, document and position. Equal units of a chunk are merged once without skipping,
-which names their candidates; only occurrences that skip one of these are merged again,
-each by itself. All these units of a chunk are merged side by side in arrays; units over
-``LONG`` symbols use a heap.
+seed, document and position, and is merged by itself. All units of a chunk are merged side
+by side in arrays; units over ``LONG`` symbols use a heap.
 
 Characters outside the vocabulary, and a blank mark that stands in the text itself,
 become bytes, so decoding gives back every text exactly.
@@ -42,7 +40,7 @@ RATE = 0.1
 SEED = 17
 LONG = 48
 #: Bytes of text encoded, and ids decoded, at a time.
-ENCODED = 1 << 20
+ENCODED = 1 << 18
 DECODED = 1 << 18
 MARK = "▁"
 NONE = np.int64(1) << np.int64(62)
@@ -131,10 +129,14 @@ def _addressed(pairs: dict[int, int]) -> tuple[np.ndarray, np.ndarray, int]:
     return keys, joined, longest
 
 
+def _place(left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A scattered number of the candidate that joins [left, middle) and [middle, right)."""
+    return tx.mix((left.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ right.astype(np.uint64))
+
+
 def _skipped(key: np.ndarray, left: np.ndarray, middle: np.ndarray, right: np.ndarray, limit: np.uint64) -> np.ndarray:
     """Whether the candidate that joins [left, middle) and [middle, right) is skipped."""
-    place = (left.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ right.astype(np.uint64)
-    return tx.mix(key ^ tx.mix(place)) < limit
+    return tx.mix(key ^ _place(left, middle, right)) < limit
 
 
 def merge_heap(symbols: list[int], key: int, pieces: Pieces, limit: np.uint64) -> list[tuple[int, int]]:
@@ -168,13 +170,10 @@ def merge_heap(symbols: list[int], key: int, pieces: Pieces, limit: np.uint64) -
     return [(ids[i], i) for i in range(n) if alive[i]]
 
 
-def merge_all(
-    symbols: np.ndarray, of: np.ndarray, key: np.ndarray, pieces: Pieces, limit: np.uint64, offered: list | None = None
-) -> np.ndarray:
+def merge_all(symbols: np.ndarray, of: np.ndarray, key: np.ndarray, pieces: Pieces, limit: np.uint64) -> np.ndarray:
     """Merge many units side by side, in place; a symbol of -2 has become part of the one before.
 
     ``of`` bounds the units in ``symbols``. In each step every unit makes its best merge.
-    ``offered`` takes the candidates met, as (unit, left, middle, right).
     """
     total = len(symbols)
     unit = np.repeat(np.arange(len(of) - 1), np.diff(of))
@@ -193,12 +192,10 @@ def merge_all(
         good = made >= 0
         value[at[~good]] = NONE
         at, right, made = at[good], right[good], made[good]
-        if offered is not None:
-            first = of[unit[at]]
-            offered.append((unit[at], at - first, right - first, after[right] - first))
         if limit:
-            first = of[unit[at]]
-            skip = _skipped(key[unit[at]], at - first, right - first, after[right] - first, limit)
+            own = unit[at]
+            first = of[own]
+            skip = _skipped(key[own], at - first, right - first, after[right] - first, limit)
             value[at[skip]] = NONE
             at, made = at[~skip], made[~skip]
         joined[at] = made
@@ -252,25 +249,11 @@ def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(begin - bounds, size)
 
 
-def _occurrences(distinct: np.ndarray, back: np.ndarray, key: np.ndarray, short: np.ndarray, offered: list, limit: np.uint64) -> np.ndarray:
-    """Which occurrences skip a candidate of their unit's plain merging, or are of a long unit."""
-    unit, *place = (np.concatenate(x) for x in zip(*offered))
-    order = np.argsort(unit, kind="stable")
-    unit, place = unit[order], [x[order] for x in place]
-    bounds = np.searchsorted(unit, np.arange(len(distinct) + 1))
-    begin, size = bounds[:-1][back], np.diff(bounds)[back]
-    at, owner = _ragged(begin, size), np.repeat(np.arange(len(back)), size)
-    own = ~short[back]
-    own[owner[_skipped(key[owner], *(x[at] for x in place), limit)]] = True
-    return own
-
-
-def encode_chunk(
-    chunk: tx.Chunk, keys: np.ndarray, pieces: Pieces, rate: float, seed: int, variants: int | None = None
-) -> tuple[np.ndarray, np.ndarray]:
+def encode_chunk(chunk: tx.Chunk, keys: np.ndarray, pieces: Pieces, rate: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts of a chunk, and the bounds of each text in them.
 
-    With ``variants`` the occurrences of a unit skip in at most so many ways.
+    Every occurrence of a unit skips by a key of its own and is merged by itself; all of a
+    chunk go side by side. Only without skipping are equal units merged once.
     """
     rows = len(chunk.offsets) - 1
     filled = np.diff(chunk.offsets) > 0
@@ -289,62 +272,45 @@ def encode_chunk(
     first_unit = np.searchsorted(start, of)
     hashes = tx.hash_spans(data, start, end)
     limit = np.uint64(min(int(rate * 2.0**64), tx.MASK))
-    distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-
-    def merged_units(where: np.ndarray, key: np.ndarray, limit: np.uint64, offered: list | None = None):
-        begin, size = start[where], end[where] - start[where]
-        body = data[_ragged(begin, size)]
-        point, at = _code_points(body)
-        bounds = np.searchsorted(at, np.concatenate([[0], np.cumsum(size)]))
-        symbols = pieces.of_char[point]
-        counts = np.diff(bounds)
-        short = counts <= LONG
-        merged = symbols.copy()
+    if limit:
+        doc = np.repeat(np.arange(rows), np.diff(first_unit))
+        turn = (np.arange(len(start)) - first_unit[doc]).astype(np.uint64)
+        key = tx.mix(hashes ^ tx.mix(tx.mix(keys[doc] + tx.mix(turn + tx.seeded(seed))) + tx.seeded(seed + 1)))
+        where, body = np.arange(len(start)), data
+    else:
+        key, where, final = np.unique(hashes, return_index=True, return_inverse=True)
+        body = data[_ragged(start[where], end[where] - start[where])]
+    size = end[where] - start[where]
+    point, at = _code_points(body)
+    bounds = np.searchsorted(at, np.concatenate([[0], np.cumsum(size)]))
+    symbols = pieces.of_char[point]
+    short = np.diff(bounds) <= LONG
+    if short.all():
+        symbols = merge_all(symbols, bounds, key, pieces, limit)
+    else:
         chosen = np.flatnonzero(short)
-        inside = _ragged(bounds[:-1][chosen], counts[chosen])
-        small = np.concatenate([[0], np.cumsum(counts[chosen])])
-        made = None if offered is None else []
-        merged[inside] = merge_all(symbols[inside], small, key[chosen], pieces, limit, made)
-        if offered is not None:
-            offered += [(chosen[unit], *place) for unit, *place in made]
-        for unit in np.flatnonzero(~short & (offered is None)).tolist():
+        inside = _ragged(bounds[:-1][chosen], np.diff(bounds)[chosen])
+        small = np.concatenate([[0], np.cumsum(np.diff(bounds)[chosen])])
+        symbols[inside] = merge_all(symbols[inside], small, key[chosen], pieces, limit)
+        for unit in np.flatnonzero(~short).tolist():
             a, b = bounds[unit], bounds[unit + 1]
             left = merge_heap(symbols[a:b].tolist(), int(key[unit]), pieces, limit)
-            merged[a:b] = -2
+            symbols[a:b] = -2
             for symbol, place in left:
-                merged[a + place] = symbol
-        return body, at, bounds, merged, short
-
-    if not limit:
-        body, at, bounds, merged, _ = merged_units(where, distinct, limit)
-    else:
-        doc = np.repeat(np.arange(rows), np.diff(first_unit))
-        turn = (np.arange(len(start)) - first_unit[doc]).astype(np.uint64)
-        draw = tx.mix(keys[doc] + tx.mix(turn + tx.seeded(seed)))
-        if variants:
-            draw %= np.uint64(variants)
-        key = tx.mix(hashes ^ tx.mix(draw + tx.seeded(seed + 1)))
-        offered: list = []
-        body, at, bounds, merged, short = merged_units(where, distinct, np.uint64(0), offered)
-        own = np.flatnonzero(_occurrences(distinct, back, key, short, offered, limit))
-        # What skips is merged by its own key and stands behind the shared units.
-        _, first, again = np.unique(key[own], return_index=True, return_inverse=True)
-        more = own[first]
-        own_body, own_at, own_bounds, own_merged, _ = merged_units(more, key[more], limit)
-        back[own] = len(distinct) + again
-        body, at = np.concatenate([body, own_body]), np.concatenate([at, own_at + len(body)])
-        bounds, merged = np.concatenate([bounds, own_bounds[1:] + bounds[-1]]), np.concatenate([merged, own_merged])
+                symbols[a + place] = symbol
     # Characters without a piece are spelled in bytes.
     width = np.diff(np.append(at, len(body)))
-    takes = np.where(merged == -2, 0, np.where(merged == -1, width, 1))
-    out = np.repeat(merged, takes)
-    spelled = np.flatnonzero(merged == -1)
+    takes = np.where(symbols == -2, 0, np.where(symbols == -1, width, 1))
+    out = np.repeat(symbols, takes)
+    spelled = np.flatnonzero(symbols == -1)
     places = _ragged((np.cumsum(takes) - takes)[spelled], takes[spelled])
     out[places] = pieces.of_byte[body[_ragged(at[spelled], width[spelled])]]
     sums = np.concatenate([[0], np.cumsum(takes)])
+    if limit:  # units are in their places
+        return out.astype(np.int32), sums[bounds][first_unit]
     unit_begin, unit_size = sums[bounds[:-1]], np.diff(sums[bounds])
-    ids = out[_ragged(unit_begin[back], unit_size[back])]
-    ends = np.concatenate([[0], np.cumsum(unit_size[back])])
+    ids = out[_ragged(unit_begin[final], unit_size[final])]
+    ends = np.concatenate([[0], np.cumsum(unit_size[final])])
     return ids.astype(np.int32), ends[first_unit]
 
 
@@ -372,7 +338,6 @@ def encode(
     path: str = MODEL,
     rate: float = RATE,
     seed: int = SEED,
-    variants: int | None = None,
     decoded: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` and ``_pieces``, the piece ids of ``text``.
@@ -392,7 +357,7 @@ def encode(
             keys = batch.column(width + 1).to_numpy(zero_copy_only=False).view(np.uint64)
             column = batch.column(width)
             for chunk in tx.chunks(column, ENCODED):
-                ids, of = encode_chunk(chunk, keys[chunk.first : chunk.last], pieces, rate, seed, variants)
+                ids, of = encode_chunk(chunk, keys[chunk.first : chunk.last], pieces, rate, seed)
                 part = batch.slice(chunk.first, chunk.last - chunk.first)
                 missing = part.column(width).is_null()
                 made = [pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()), mask=missing)]

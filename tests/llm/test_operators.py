@@ -392,7 +392,7 @@ def test_pieces_equal_the_library_without_dropout():
     table, library = pieces.Pieces.load(), sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     texts = [t or "" for t in ODD_TEXTS if "▁" not in (t or "")] + ["  two  blanks ", "a\n\nb\tc", "日本語 ﬁ \x00", "Übergrößen " * 9]
     for chunk in tx.chunks(pa.array(texts)):
-        ids, of = pieces.encode_chunk(chunk, np.zeros(chunk.last - chunk.first, np.uint64), table, 0.0, 1, 8)
+        ids, of = pieces.encode_chunk(chunk, np.zeros(chunk.last - chunk.first, np.uint64), table, 0.0, 1)
         for i in range(chunk.first, chunk.last):
             assert ids[of[i - chunk.first] : of[i - chunk.first + 1]].tolist() == library.encode(texts[i])
 
@@ -412,9 +412,9 @@ def test_dropout_is_keyed_and_lossless(spark, odd, none, monkeypatch):
     table = pieces.Pieces.load()
     (chunk,) = tx.chunks(pa.array(list(dict(docs.limit(20).collect()).values())), 1 << 30)
     keys = np.arange(20, dtype=np.uint64)
-    side = pieces.encode_chunk(chunk, keys, table, 0.3, 1, 8)
+    side = pieces.encode_chunk(chunk, keys, table, 0.3, 1)
     monkeypatch.setattr(pieces, "LONG", 0)
-    heap = pieces.encode_chunk(chunk, keys, table, 0.3, 1, 8)
+    heap = pieces.encode_chunk(chunk, keys, table, 0.3, 1)
     assert np.array_equal(side[0], heap[0]) and np.array_equal(side[1], heap[1])
 
 
