@@ -334,3 +334,67 @@ def feature_job(t: Tables):
         "job_name",
         "split",
     )
+
+
+@query(
+    "feat_inference",
+    uses=("apps",),
+    sql=f""", {QUARTILES} SELECT application_id, {AGE_NAMED.format('18-25', '26-35', '36-45', '45+')} AS age_group, {QUARTILE} AS income_quartile,
+  round({STABLE}, 9) + 0.0::DOUBLE AS employment_stability, {flag_sql(f'{STABLE} > 0.3::DOUBLE')} AS has_stable_employment,
+  loan_percent_income AS debt_to_income_ratio, round(person_income / nullif(loan_amnt, 0), 6) AS income_to_loan_ratio,
+  {flag_sql('loan_percent_income > 0.4::DOUBLE')} AS has_high_debt_ratio, {flag_sql('person_income > q3')} AS has_high_income,
+  {flag_sql("cb_person_default_on_file = 'Y'")} AS has_historical_default, {GROUP_CLOSED} AS risk_grade_group FROM apps CROSS JOIN q""",
+)
+def feat_inference(t: Tables):
+    """The batch features of the inference job, with the batch's own quartiles."""
+    names = ["age_group", "income_quartile", "employment_stability", "has_stable_employment", "debt_to_income_ratio", "income_to_loan_ratio"]
+    names += ["has_high_debt_ratio", "has_high_income", "has_historical_default", "risk_grade_group"]
+    frame = ops.derive_inference(t.apps).select("application_id", *names)
+    return rounded(rounded(frame, "employment_stability", digits=9), "income_to_loan_ratio")
+
+
+#: What the feature job derives, with gaps filled by medians; then every level's place, most frequent first.
+JOB_TABLES = f""", {QUARTILES},
+derived AS (SELECT *, {AGE_OPEN} AS age_group, {QUARTILE} AS income_quartile, {STABLE} AS employment_stability,
+  person_income / nullif(loan_amnt, 0) AS income_to_loan_ratio, {GROUP_OPEN} AS risk_grade_group,
+  CASE WHEN loan_amnt <= 5000 THEN 'Small' WHEN loan_amnt <= 15000 THEN 'Medium' WHEN loan_amnt <= 25000 THEN 'Large' ELSE 'VeryLarge' END AS loan_amount_category,
+  CASE WHEN loan_int_rate <= 10 THEN 'Low' WHEN loan_int_rate <= 15 THEN 'Medium' ELSE 'High' END AS interest_rate_category FROM apps CROSS JOIN q),
+complete AS (SELECT * REPLACE ({", ".join(f"coalesce({c}::DOUBLE, (SELECT median({c}::DOUBLE) FROM derived)) AS {c}" for c in ops.SCALED)}) FROM derived),
+levels AS (SELECT name, level, rank() OVER (PARTITION BY name ORDER BY n DESC, level) - 1 AS place, count(*) OVER (PARTITION BY name) AS size FROM (
+  {" UNION ALL ".join(f"SELECT '{c}' AS name, {c} AS level, count(*) AS n FROM derived GROUP BY {c}" for c in ops.ENCODED)})),
+starts AS (SELECT k, name, coalesce((SELECT sum(size) FROM (SELECT DISTINCT name, size FROM levels) l JOIN (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(ops.ENCODED))}) o(j, other) ON l.name = other WHERE j < k), 0) AS start
+  FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(ops.ENCODED))}) v(k, name))"""
+SCALED_CELLS = " UNION ALL ".join(
+    f"SELECT application_id, {i} AS position, round(({c} - (SELECT avg({c}) FROM complete)) / (SELECT stddev_samp({c}) FROM complete), 6) + 0.0::DOUBLE AS value FROM complete"
+    for i, c in enumerate(ops.SCALED)
+)
+ONE_HOT_CELLS = " UNION ALL ".join(
+    f"SELECT application_id, ({len(ops.SCALED)} + start + place)::INTEGER, 1.0::DOUBLE FROM derived JOIN levels l ON l.name = '{c}' AND l.level = {c} JOIN starts s ON s.name = '{c}'"
+    for c in ops.ENCODED
+)
+
+
+def _cells(vectors, column: str = "features"):
+    """The entries of vectors as rows: all of the scaled numbers, and those of the rest that are not 0."""
+    entries = vectors.select("application_id", F.posexplode(vector_to_array(column)).alias("position", "value"))
+    return rounded(entries.where(f"position < {len(ops.SCALED)} OR value <> 0"), "value")
+
+
+@query("ml_features_cells", uses=("apps",), sql=f"{JOB_TABLES} {SCALED_CELLS} UNION ALL {ONE_HOT_CELLS}")
+def ml_features_cells(t: Tables):
+    derived = _derived(t)
+    return _cells(ops.fit_features(derived).transform(derived))
+
+
+@query(
+    "enc_onehot_cells",
+    uses=("apps",),
+    sql=f"{JOB_TABLES} " + " UNION ALL ".join(f"SELECT application_id, '{c}' AS name, place::INTEGER AS position, size::INTEGER AS width FROM derived JOIN levels l ON l.name = '{c}' AND l.level = {c}" for c in ops.ENCODED),
+)
+def enc_onehot_cells(t: Tables):
+    """The place of the one in each category's vector, and the vector's length."""
+    derived = _derived(t)
+    encoded = Pipeline(stages=ops.encoding_stages(derived)).fit(derived).transform(derived)
+    pairs = [F.struct(F.lit(c).alias("name"), vector_to_array(f"{c}_encoded").alias("v")) for c in ops.ENCODED]
+    rows = encoded.select("application_id", F.inline(F.array(*pairs)))
+    return rows.select("application_id", "name", (F.array_position("v", 1.0) - 1).cast("int").alias("position"), F.size("v").alias("width"))

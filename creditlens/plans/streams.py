@@ -300,3 +300,40 @@ def stream_hourly_on_time(t: Tables):
 def stream_late_rows(t: Tables):
     _, rows = _hourly_with_late(t)
     return rows.select("application_id", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("event_time", "watermark")])
+
+
+@query(
+    "stream_process_rows",
+    uses=("decided",),
+    sql=f""", valid AS (SELECT *, {STATUS_SQL} AS final FROM decided WHERE {VALID})
+SELECT application_id, CASE WHEN final = 'PENDING_REVIEW' THEN 'MANUAL_REVIEW' ELSE final END AS status, risk_score, risk_level AS risk_category,
+  CASE decision WHEN 'AUTO_APPROVE' THEN 'APPROVE' WHEN 'AUTO_REJECT' THEN 'REJECT' ELSE 'MANUAL_REVIEW' END AS decision FROM valid""",
+)
+def stream_process_rows(t: Tables):
+    """The three stored tables of the processed applications, joined."""
+    stored = flow.run_process(flow.decided(submitted(t)))
+    return (
+        stored["applications"].select("application_id", "status")
+        .join(stored["risk_scores"].select("application_id", "risk_score", "risk_category"), "application_id")
+        .join(stored["decisions"].select("application_id", "decision"), "application_id")
+    )
+
+
+@query(
+    "stream_model_score",
+    uses=("apps",),
+    sql=f"SELECT application_id, true AS scored, true AS as_in_a_batch FROM apps WHERE {VALID}",
+)
+def stream_model_score(t: Tables):
+    """Applications scored on a stream by a fitted model, each beside its score in a batch."""
+    from pyspark.ml import PipelineModel
+
+    from creditlens.operators import models
+
+    ready, vectors, statistics = models.prepare(t.apps)
+    model = PipelineModel(stages=[*vectors.stages, models.forest(20, 5).fit(models.part(ready, "train"))])
+    found = flow.run_rows(flow.model_scored(submitted(t), model, statistics).select("application_id", "risk_score"), "model-score")
+    batch = models.predict(model, flow.accepted(t.apps), statistics).select("application_id", F.col("prob_default").alias("own"))
+    # Both follow from the row alone, so they agree but for the last bits of sums over trees.
+    same = F.abs(F.col("risk_score") - F.col("own")) < 1e-9
+    return found.join(batch, "application_id").select("application_id", F.col("risk_score").between(0, 1).alias("scored"), same.alias("as_in_a_batch"))
