@@ -2,14 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from creditlens.operators import evaluation, monitoring as ops, quality
-from creditlens.operators.quantiles import area_under_roc
+from creditlens.operators import baselines, evaluation, monitoring as ops, quality
+from creditlens.operators.quantiles import area_under_roc, unpivoted
 from creditlens.plans.fixtures import AS_OF, Tables
 from creditlens.plans.profiling import per
 from creditlens.plans.quality import DIMENSIONS_SQL
 from creditlens.plans.registry import query
 from creditlens.plans.shape import rounded
 from creditlens.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from creditlens.session import run_folder
 
 
 @query(
@@ -242,3 +243,48 @@ def monitoring_status(t: Tables):
     outcome = ops.run_monitoring(t.baseline, labelled)
     metrics = outcome["performance"].select("metric", "current_value", F.lit(0).alias("k"))
     return rounded(metrics.join(outcome["report"].withColumn("k", F.lit(0)), "k").drop("k"), "current_value")
+
+
+@query(
+    "baseline_stored",
+    uses=("baseline",),
+    sql=" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, min({c})::DOUBLE AS low, max({c})::DOUBLE AS high, true AS ranks_within_bound FROM baseline"
+        for c in NUMERIC_FEATURES
+    ),
+)
+def baseline_stored(t: Tables):
+    """The baseline from stored daily sketches, and whether its quantiles' true ranks are within the bound."""
+    path = run_folder(t.spark, "baseline")
+    baselines.daily(t.baseline, F.to_date("created_at")).write.parquet(path)
+    merged = baselines.window(t.spark.read.parquet(path))
+    shares = [0.05, 0.25, 0.5, 0.75, 0.95]
+    asked = merged.select("*", *[baselines.quantile("sketch", p).alias(f"q{i}") for i, p in enumerate(shares)]).drop("sketch")
+    # One row per column of a fixed list.
+    cells = unpivoted(t.baseline, NUMERIC_FEATURES).join(F.broadcast(asked.withColumnRenamed("column_name", "column")), "column")
+    ranked = cells.groupBy("column", "n", "mean", "low", "high").agg(
+        *[F.count_if(F.col("value") < F.col(f"q{i}")).alias(f"below{i}") for i in range(len(shares))],
+        *[F.count_if(F.col("value") <= F.col(f"q{i}")).alias(f"upto{i}") for i in range(len(shares))],
+    )
+    # A value holds all ranks from the first to the last of its copies; three times the bound is never seen.
+    slack, within = 3 * baselines.ERROR, F.lit(True)
+    for i, p in enumerate(shares):
+        within = within & (F.col(f"below{i}") / F.col("n") <= p + slack) & (F.col(f"upto{i}") / F.col("n") >= p - slack)
+    return rounded(ranked.select(F.col("column").alias("column_name"), "n", "mean", "low", "high", within.alias("ranks_within_bound")), "mean")
+
+
+@query(
+    "drift_stored",
+    uses=("baseline", "current_apps"),
+    sql=f", {BOTH}, {KS} SELECT column_name, true AS near_the_exact_distance FROM ks",
+)
+def drift_stored(t: Tables):
+    """Drift from stored daily sketches of both sides, beside the exact test over all rows."""
+    windows = []
+    for name, frame in (("old", t.baseline), ("new", t.current)):
+        path = run_folder(t.spark, f"baseline-{name}")
+        baselines.daily(frame, F.to_date("created_at")).write.parquet(path)
+        windows.append(baselines.window(t.spark.read.parquet(path)))
+    found = baselines.drift(*windows).join(ops.drift_ks(t.baseline, t.current).select("column_name", "statistic"), "column_name")
+    slack = 1 / baselines.POINTS + 6 * baselines.ERROR
+    return found.select("column_name", (F.abs(F.col("distance") - F.col("statistic")) <= slack).alias("near_the_exact_distance"))

@@ -313,3 +313,43 @@ def test_normal_quantile_in_sql(spark):
     points = [1e-300, 1e-20, 1e-9, 1e-4, 0.01, 0.0749, 0.0751, 0.3, 0.5, 0.77, 0.93, 0.999, 1 - 1e-12]
     found = spark.createDataFrame([(points,)], "p array<double>").select(F.expr(quantiles_sql("p")).alias("z")).first()["z"]
     assert found == pytest.approx([NormalDist().inv_cdf(p) for p in points], rel=1e-12, abs=1e-15)
+
+
+def test_stored_baselines_merge_and_keep_their_rank_bound(spark):
+    from creditlens.operators import baselines
+
+    rng = np.random.default_rng(21)
+    values = np.concatenate([rng.normal(0, 1, 15_000), np.full(5_000, 0.3)])
+    rng.shuffle(values)
+    rows = [(float(v) if i % 50 else None, i % 40) for i, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, "x double, d int").repartition(5)
+    days = baselines.daily(frame, F.col("d"), ["x"])
+    assert days.agg(F.sum("n")).first()[0] == frame.where("x IS NOT NULL").count()
+    kept = np.sort([v for v, _ in rows if v is not None])
+    merged = baselines.window(days.repartition(3))
+    shares = [0.01, 0.1, 0.25, 0.5, 0.6, 0.75, 0.99]
+    asked = [baselines.quantile("sketch", p).alias(f"q{i}") for i, p in enumerate(shares)]
+    row = merged.select("n", "mean", "low", "high", *asked).first()
+    assert row["n"] == len(kept) and row["low"] == kept[0] and row["high"] == kept[-1] and row["mean"] == pytest.approx(kept.mean())
+    for i, p in enumerate(shares):
+        below, upto = (np.searchsorted(kept, row[f"q{i}"], side) / len(kept) for side in ("left", "right"))
+        assert below - 3 * baselines.ERROR <= p <= upto + 3 * baselines.ERROR
+
+
+def test_drift_from_stored_baselines(spark):
+    from creditlens.operators import baselines
+
+    rng = np.random.default_rng(22)
+    base, same, moved = rng.normal(0, 1, 8000), rng.normal(0, 1, 8000), rng.normal(0.8, 1, 8000)
+
+    def stored(values):
+        return baselines.window(baselines.daily(frame_of(spark, values).withColumn("d", F.lit(1)), F.col("d"), ["x"]))
+
+    calm, shifted = (baselines.drift(stored(base), stored(v)).first() for v in (same, moved))
+    grid = np.sort(np.concatenate([base, moved]))
+    gap = np.abs(np.searchsorted(np.sort(base), grid, "right") - np.searchsorted(np.sort(moved), grid, "right")).max() / 8000
+    assert shifted["distance"] == pytest.approx(gap, abs=6 * baselines.ERROR + 1 / baselines.POINTS) and shifted["drift_detected"]
+    assert calm["distance"] < 0.06 and not calm["drift_detected"]
+    edges = np.quantile(base, np.linspace(0, 1, 11)[1:-1])
+    a, b = (np.histogram(v, [-np.inf, *edges, np.inf])[0] / 8000 for v in (base, moved))
+    assert shifted["psi"] == pytest.approx(((b - a) * np.log(b / a)).sum(), rel=0.1)
