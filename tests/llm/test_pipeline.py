@@ -23,7 +23,7 @@ def test_agrees_with_sql(spark, connection, name):
 
 def test_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == ORDER
-    assert {int(name[2:].split("_")[0]) for name in QUERIES if name != "pipeline"} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES if name != "pipeline"} == set(range(1, 14))
 
 
 def test_pipeline_against_brute_force(spark, connection):
