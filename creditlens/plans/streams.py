@@ -187,7 +187,7 @@ def stream_score_cache(t: Tables):
     def run(streams):
         timed = streams["apps"].withColumn("event_time", F.col("created_at").cast("timestamp"))
         found = state.cached_scores(timed, F.concat_ws("_", *SEGMENT), scoring.rule_score())
-        return flow.run_rows(found, "score-cache", base)
+        return flow.run_rows(found, "score-cache", base, state.STORE)
 
     apps = t.apps.select("application_id", *FEATURES, "created_at")
     found = replayed(t, {"apps": (apps, part_of(F.col("created_at")))}, run)
@@ -257,7 +257,8 @@ def stream_audit(t: Tables):
     base = run_folder(t.spark, "audit")
 
     def run(streams):
-        return flow.run_rows(state.captured_changes(streams["images"], "application_id", columns, "version", "deleted", "applications"), "audit", base)
+        changes = state.captured_changes(streams["images"], "application_id", columns, "version", "deleted", "applications")
+        return flow.run_rows(changes, "audit", base, state.STORE)
 
     # Each version arrives in two parts.
     return replayed(t, {"images": (images, F.col("version") * 2 + F.pmod(F.col("application_id"), F.lit(2)))}, run)

@@ -83,22 +83,34 @@ def distinct_feature_sets(df: DataFrame, keep: str = "7 days") -> DataFrame:
     return keyed.dropDuplicatesWithinWatermark(["cache_key"])
 
 
-def run_rows(stream: DataFrame, label: str, base: str | None = None) -> DataFrame:
+def run_rows(stream: DataFrame, label: str, base: str | None = None, settings: dict[str, str] | None = None) -> DataFrame:
     """Run a stateless or append stream over what is there; rows land in files, exactly once.
 
     ``base`` names the folder of rows and state. A later run over the same folder goes
     on where the last one ended; without a name each run has a folder of its own.
+    ``settings`` hold for this stream alone: it copies the session's as it starts.
     """
     spark = stream.sparkSession
     base = base or run_folder(spark, label)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", f"{base}/rows")
-        .option("checkpointLocation", f"{base}/state")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    settings = settings or {}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", f"{base}/rows")
+            .option("checkpointLocation", f"{base}/state")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
