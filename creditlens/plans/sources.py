@@ -12,7 +12,7 @@ from creditlens.plans.registry import query
 from creditlens.plans.shape import as_text, rounded
 from creditlens.plans.cleaning import CLEAN_JOB_RESULT, CLEAN_JOB_TABLES, COLUMNS
 from creditlens.schemas import APPLICATION, COERCIONS, EVENT_ENVELOPE
-from creditlens.session import run_folder, staged
+from creditlens.session import FILE_ROWS, run_folder, staged
 from creditlens.sources import events, readers, writers
 
 KINDS = {"int": "INTEGER", "double": "DOUBLE"}
@@ -163,7 +163,9 @@ def sink_multi(t: Tables):
 def sink_features(t: Tables):
     from creditlens.operators import features as fe
 
-    derived = fe.complete_numbers(fe.derive_job(t.apps), fe.SCALED)
+    # Every step reads all rows: they are dealt over all cores once, and once derived.
+    apps = staged(t.feed, "applications", FILE_ROWS)
+    derived = staged(fe.complete_numbers(fe.derive_job(apps), fe.SCALED), "derived", FILE_ROWS)
     vectors = fe.fit_features(derived).transform(derived)
     split = fe.split_by_hash(vectors, "application_id").select("application_id", "features", "loan_status", "split")
     return writers.save_features(

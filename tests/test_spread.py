@@ -32,3 +32,24 @@ def test_a_tree_chooses_alike_by_node_and_by_row():
     by_feature = np.ascontiguousarray(bins.T)
     assert np.array_equal(tree.chosen(by_feature, np.array(tree.value)), tree.values(bins, 2))
     assert np.array_equal(Tree(*[[x] for x in (-1, 0, True, -1, -1, 0.5, 0.0)]).chosen(by_feature, np.array([0.5])), np.full(len(bins), 0.5))
+
+
+def test_statistics_are_taken_from_dealt_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "FILE_ROWS", 100)
+    files, of = [], models.Statistics.of
+    monkeypatch.setattr(models.Statistics, "of", lambda train: files.append(len(train.inputFiles())) or of(train))
+    models.prepare(Tables(spark, SMALL).apps)
+    assert files[0] >= 15
+
+
+def test_saved_features_are_derived_from_dealt_rows(spark, monkeypatch):
+    from creditlens.operators import features
+    from creditlens.plans import sources
+
+    monkeypatch.setattr(sources, "FILE_ROWS", 100)
+    files, fit, derive = [], features.fit_features, features.derive_job
+    monkeypatch.setattr(features, "derive_job", lambda df: files.append(len(df.inputFiles())) or derive(df))
+    monkeypatch.setattr(features, "fit_features", lambda df: files.append(len(df.inputFiles())) or fit(df))
+    apps = Tables(spark, SMALL)
+    row = sources.sink_features(apps).first()
+    assert min(files) >= 15 and row["train_records"] + row["test_records"] == apps.apps.count()
