@@ -53,3 +53,19 @@ def test_saved_features_are_derived_from_dealt_rows(spark, monkeypatch):
     apps = Tables(spark, SMALL)
     row = sources.sink_features(apps).first()
     assert min(files) >= 15 and row["train_records"] + row["test_records"] == apps.apps.count()
+
+
+def test_weights_leave_rows_where_they_are(spark):
+    from pyspark.sql import functions as F
+
+    from creditlens.operators.features import with_weights
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on large tables
+    try:
+        rows = spark.range(900).select("id", F.when(F.col("id") % 3 != 2, F.col("id") % 3).alias("label"))
+        weighted = with_weights(rows, "label")
+        assert "SortMergeJoin" not in weighted._jdf.queryExecution().toString()
+        assert {(r["label"], r["weight"]) for r in weighted.collect()} == {(0, 1.0), (1, 1.0), (None, 1.0)} and weighted.count() == 900
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
