@@ -4,7 +4,7 @@ Each runs a real streaming query to the end of what is there; its result is what
 the sink holds. The checks compute the same from the tables.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditlens.plans.decisions import STATUS_SQL
@@ -33,26 +33,47 @@ def submitted(t: Tables):
 ARRIVALS = ("1997-01-01", "1999-01-01", "2001-01-01")
 
 
-def part_of(time: Column) -> Column:
+#: About the most submissions that arrive together where events are joined: a join holds a whole arrival in state.
+ARRIVAL_ROWS = 4_000_000
+
+
+def part_of(time: Column, cuts=ARRIVALS) -> Column:
     """The part that an event of this time arrives in."""
-    return sum((F.when(time >= F.lit(cut).cast("timestamp_ntz"), 1).otherwise(0) for cut in ARRIVALS), F.lit(0))
+    return sum((F.when(time >= F.lit(cut).cast("timestamp_ntz"), 1).otherwise(0) for cut in cuts), F.lit(0))
+
+
+def arrival_cuts(frame: DataFrame, time: str) -> list[str]:
+    """``ARRIVALS``, and further cuts in time where a part has more than ``ARRIVAL_ROWS`` rows."""
+    cuts = list(ARRIVALS)
+    for part, rows in frame.groupBy(part_of(F.col(time))).count().collect():
+        if rows > ARRIVAL_ROWS:
+            shares = [k * ARRIVAL_ROWS / rows for k in range(1, -(-rows // ARRIVAL_ROWS))]
+            at = frame.where(part_of(F.col(time)) == part).select(F.percentile_approx(time, shares, 100_000).alias("at"))
+            cuts += [str(x) for x in at.first()["at"] or []]
+    return sorted(set(cuts))
 
 
 def part_sql(time: str) -> str:
     return "(" + " + ".join(f"CASE WHEN {time} >= TIMESTAMP '{cut}' THEN 1 ELSE 0 END" for cut in ARRIVALS) + ")"
 
 
-def replayed(t: Tables, tables: dict, run):
+def replayed(t: Tables, tables: dict, run, parts: int = len(ARRIVALS) + 1):
     """Let the parts of the tables arrive one after another and run the stream after each.
 
     ``tables`` has a frame and its part by name; ``run`` gets the streams and goes on where
     it ended before. Its last result counts.
     """
     folder, result = run_folder(t.spark, "arrivals"), None
-    for part in range(len(ARRIVALS) + 1):
+    # Each table is derived once; an arrival copies the rows of its part.
+    dealt = {}
+    for name, (frame, number) in tables.items():
+        numbered = frame.withColumn("part", number.cast("int"))
+        numbered.write.partitionBy("part").parquet(f"{folder}/parts/{name}")
+        dealt[name] = t.spark.read.schema(numbered.schema).parquet(f"{folder}/parts/{name}")
+    for part in range(parts):
         streams = {}
-        for name, (frame, number) in tables.items():
-            frame.where(number == part).write.mode("append").parquet(f"{folder}/{name}")
+        for name, (frame, _) in tables.items():
+            dealt[name].where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/{name}")
             streams[name] = t.spark.readStream.schema(frame.schema).parquet(f"{folder}/{name}")
         result = run(streams)
     return result
@@ -214,8 +235,9 @@ def stream_correlate(t: Tables):
         """With a last event far ahead, that moves the watermark past all others."""
         nothing = {f.name: F.lit(None).cast(f.dataType) for f in frame.schema}
         last = t.spark.range(1).select(*[{**nothing, "application_id": F.lit(-1).cast("long"), time: end}[c].alias(c) for c in frame.columns])
-        return frame.unionByName(last), part_of(F.col(time))
+        return frame.unionByName(last), part_of(F.col(time), cuts)
 
+    cuts = arrival_cuts(t.given("orders"), "o_orderdate")
     tables = {
         "submitted": closed(t.apps.select("application_id", "created_at"), "created_at"),
         "scored": closed(
@@ -227,7 +249,7 @@ def stream_correlate(t: Tables):
     def run(streams):
         return flow.run_rows(correlate.correlated(**streams), "correlate", base)
 
-    found = replayed(t, tables, run).where("application_id >= 0")
+    found = replayed(t, tables, run, len(cuts) + 1).where("application_id >= 0")
     times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("scored_at", "decided_at")}
     return found.withColumns(times).drop("submitted_at")
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlens.operators.tables import audit_diff
+from creditlens.plans import streams
 from creditlens.session import run_folder
 from creditlens.streaming import correlate, flow, late, state
 
@@ -139,3 +140,16 @@ def test_late_rows_are_kept_apart(spark):
         START + timedelta(hours=200): (1, 100.0, 0.5),
         START + timedelta(hours=176): (1, 100.0, 0.5),
     }
+
+
+def test_large_parts_arrive_in_pieces(spark, tables, monkeypatch):
+    """A join holds one arrival in state; what is cut finer by time gives the same rows."""
+    orders = tables.given("orders")
+    assert streams.arrival_cuts(orders, "o_orderdate") == list(streams.ARRIVALS)
+    whole = streams.stream_correlate(tables)
+    monkeypatch.setattr(streams, "ARRIVAL_ROWS", 300)
+    cuts = streams.arrival_cuts(orders, "o_orderdate")
+    sizes = [r["count"] for r in orders.groupBy(streams.part_of(F.col("o_orderdate"), cuts).alias("part")).count().collect()]
+    assert max(sizes) <= 310 and set(streams.ARRIVALS) <= set(cuts) and sum(sizes) == orders.count()
+    pieces = streams.stream_correlate(tables)
+    assert pieces.exceptAll(whole).isEmpty() and whole.exceptAll(pieces).isEmpty() and whole.count() == orders.count()
