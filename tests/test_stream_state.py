@@ -153,3 +153,17 @@ def test_large_parts_arrive_in_pieces(spark, tables, monkeypatch):
     assert max(sizes) <= 310 and set(streams.ARRIVALS) <= set(cuts) and sum(sizes) == orders.count()
     pieces = streams.stream_correlate(tables)
     assert pieces.exceptAll(whole).isEmpty() and whole.exceptAll(pieces).isEmpty() and whole.count() == orders.count()
+
+
+def test_capture_keeps_many_entities_in_one_value(spark, monkeypatch):
+    """Few values in the state, one call for each; deleted and null entities too, in any batching."""
+    monkeypatch.setattr(state, "GROUPS", 4)
+    schema = "id long, name string, version int, deleted boolean"
+    parts = [[(i if i else None, f"n{i}", 0, False) for i in range(300)], [(i if i else None, f"n{i % 50}", 1, i % 3 == 1) for i in range(300)]]
+    base = run_folder(spark, "capture")
+    found = feed(spark, [parts[0][:99], parts[0][99:] + parts[1][:50], parts[1][50:], parts[0]], schema, lambda s: flow.run_rows(state.captured_changes(s, "id", ["name"], "version", "deleted", "e"), "capture", base, state.STORE))
+    held = spark.read.format("statestore").option("stateVarName", "images").load(f"{base}/state")
+    assert held.count() == 4
+    expected = {"INSERT": 300, "DELETE": sum(i % 3 == 1 for i in range(300)), "UPDATE": sum(i % 3 != 1 and i >= 50 for i in range(300))}
+    assert {r["action"]: r["count"] for r in found.groupBy("action").count().collect()} == expected
+    assert found.where("entity_id IS NULL").count() == 1
